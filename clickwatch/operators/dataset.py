@@ -88,11 +88,12 @@ def fit_scaler(train: DataFrame, cap: float) -> Preprocessing:
     """Population mean and deviation of the train rows; a constant column scales by 1."""
     stats = train.agg(
         *[F.avg(c).alias(f"mean_{c}") for c in MODEL_COLUMNS],
-        *[F.stddev_pop(c).alias(f"scale_{c}") for c in MODEL_COLUMNS],
+        # equal bounds, not a zero deviation: rounding can leave a speck of deviation
+        *[F.when(F.min(c) < F.max(c), F.stddev_pop(c)).otherwise(1.0).alias(f"scale_{c}") for c in MODEL_COLUMNS],
     ).first()
     return Preprocessing(
         tuple(stats[f"mean_{c}"] for c in MODEL_COLUMNS),
-        tuple(stats[f"scale_{c}"] or 1.0 for c in MODEL_COLUMNS),
+        tuple(stats[f"scale_{c}"] for c in MODEL_COLUMNS),
         cap,
     )
 

@@ -174,7 +174,7 @@ cte("prepared", "bounded cap", """
 SELECT window_end, geo, platform, is_train, ctr, bounce, ln(1 + least("count", (SELECT cap FROM cap))) AS log_count FROM bounded
 """)
 cte("scaler", "prepared", "SELECT " + ", ".join(
-    f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) = 0 THEN 1 ELSE stddev_pop({c}) END AS s_{c}" for c in MODEL) + " FROM prepared WHERE is_train")
+    f"avg({c}) AS m_{c}, CASE WHEN min({c}) = max({c}) THEN 1 ELSE stddev_pop({c}) END AS s_{c}" for c in MODEL) + " FROM prepared WHERE is_train")
 cte("scaled", "prepared scaler", "SELECT window_end, geo, platform, is_train, " + ", ".join(
     f"({c} - m_{c}) / s_{c} AS {c}" for c in MODEL) + " FROM prepared, scaler")
 
