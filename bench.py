@@ -17,11 +17,11 @@ from clickwatch.plans.catalog import QUERIES  # noqa: E402
 from clickwatch.session import build_session  # noqa: E402
 
 HEADLINE = (
-    "sliding_window_features", "tumbling_window_features", "valid_events", "rule_failure_counts", "ingest_quality",
+    "sliding_features", "tumbling_features", "valid_events", "rule_failure_counts", "ingest_quality",
     "clickstream_events", "daily_stats", "geo_stats", "top_recent_events", "lake_hour_counts", "offline_scan",
     "online_latest", "online_lookup", "asof_features", "count_cap", "time_split", "standardized_features",
     "fixed_forest_scores", "anomaly_scores", "flagged_windows", "inject_uniform", "inject_stratified",
-    "roc_auc", "forest_evaluation", "latency_p95", "seasonal_levels", "stream_sliding_features",
+    "roc_auc", "forest_evaluation", "latency_p95", "seasonal_residuals", "stream_sliding_features",
 )
 
 

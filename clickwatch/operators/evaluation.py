@@ -160,13 +160,19 @@ def roc_auc(counts: DataFrame, rows_per_bucket: int = 1_000_000) -> DataFrame:
     )
 
 
-def roc_curve(counts: DataFrame, rows_per_bucket: int = 1_000_000) -> DataFrame:
+def roc_curve(counts: DataFrame, rows_per_bucket: int = 1_000_000, drop_intermediate: bool = False) -> DataFrame:
     """(fpr, tpr, threshold) per distinct score, from the strictest on.
 
-    The starting point (0, 0) has no threshold.
+    The starting point (0, 0) has no threshold. `drop_intermediate` leaves out
+    points whose step is repeated by the next one, which changes no line drawn.
     """
     totals = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
-    cum = running_totals(counts, "score", ["pos", "neg"], descending=True, rows_per_bucket=rows_per_bucket)
+    cum = running_totals(
+        counts, "score", ["pos", "neg"], descending=True, rows_per_bucket=rows_per_bucket, with_next=drop_intermediate
+    )
+    if drop_intermediate:
+        repeated = (F.col("next_pos") == F.col("pos")) & (F.col("next_neg") == F.col("neg"))
+        cum = cum.filter(~F.coalesce(repeated, F.lit(False)))
     points = cum.select(
         F.try_divide(F.col("cum_neg").cast("double"), F.lit(float(totals["n"] or 0))).alias("fpr"),
         F.try_divide(F.col("cum_pos").cast("double"), F.lit(float(totals["p"] or 0))).alias("tpr"),

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from clickwatch import constants as C
 from clickwatch.operators.windows import KEYS
-from clickwatch.session import broadcast_if_small
+from clickwatch.session import broadcast_if_small, stage
 
 VALUES = ("ctr_avg", "bounce_rate_avg", "event_count")
 
@@ -105,7 +105,9 @@ def asof_features(
     is the same for all rows of a key. Features are spread over the grains they
     are the newest for, at most keys x grains rows, and the event-sized side does
     one equi-join on (keys, grain): it is neither sorted nor matched with more
-    than one feature, and a busy key is spread over its grains.
+    than one feature. The spread table is written and counted: a short history is
+    broadcast and the events stay where they are; a long one joins by shuffle,
+    where a busy key is spread over its grains.
     """
     age = _ttl(ttl)
     step = F.expr(f"INTERVAL 1 {grain}")
@@ -117,6 +119,7 @@ def asof_features(
     spread = features.select(*KEYS, "window_end", *VALUES, valid_to.alias("valid_to")).select(
         *KEYS, "window_end", *VALUES, F.explode(F.sequence("window_end", "valid_to", step)).alias("_grain")
     )
+    spread = broadcast_if_small(stage(spread, "asof-features"), 1_000_000)
     joined = rows.withColumn("_grain", F.date_trunc(grain, time)).join(spread, [*KEYS, "_grain"], "left")
     fresh = F.col("window_end") >= F.col(time) - age
     return joined.select(*rows.columns, *[F.when(fresh, F.col(v)).alias(v) for v in ("window_end", *VALUES)])

@@ -79,8 +79,10 @@ def running_totals(
     descending: bool = False,
     rows_per_bucket: int = 1_000_000,
     distinct: int | None = None,
+    with_next: bool = False,
 ) -> DataFrame:
     """Add `cum_<measure>`: inclusive running sums in order of `value`.
+    `with_next` also adds `next_<measure>`, that of the following value.
 
     `counts` is a staged table with one row per distinct value. It is cut into
     ranges at literal split points, so every pass sees the same ranges; each range
@@ -88,29 +90,36 @@ def running_totals(
     """
     n = counts.count() if distinct is None else distinct
     ranges = max(1, math.ceil(n / rows_per_bucket))
-    splits: list[float] = []
-    if ranges > 1:
-        points = [i / ranges for i in range(1, ranges)]
-        splits = sorted(set(counts.stat.approxQuantile(value, points, 1 / (8 * ranges))))
-    if splits:
-        bounds = [-math.inf, *splits, math.inf]
-        ranged = Bucketizer(splits=bounds, inputCol=value, outputCol="_range").transform(
-            counts.withColumn(value, F.col(value).cast("double"))
-        )
-    else:
-        ranged = counts.withColumn("_range", F.lit(0.0))
     direction = F.desc if descending else F.asc
-    totals = ranged.groupBy("_range").agg(*[F.sum(m).alias(f"_all_{m}") for m in measures])
-    earlier = Window.orderBy(direction("_range"))
+    if ranges == 1:
+        order = Window.orderBy(direction(value))  # at most rows_per_bucket rows
+        nexts = [F.lead(m).over(order).alias(f"next_{m}") for m in measures if with_next]
+        return counts.select("*", *[F.sum(m).over(order).alias(f"cum_{m}") for m in measures], *nexts)
+    points = [i / ranges for i in range(1, ranges)]
+    splits = sorted(set(counts.stat.approxQuantile(value, points, 1 / (8 * ranges))))
+    ranged = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol=value, outputCol="_range").transform(
+        counts.withColumn(value, F.col(value).cast("double"))
+    )
+    pick_first = F.max_by if descending else F.min_by
+    totals = ranged.groupBy("_range").agg(
+        *[F.sum(m).alias(f"_all_{m}") for m in measures], *[pick_first(m, value).alias(f"_first_{m}") for m in measures]
+    )
+    across = Window.orderBy(direction("_range"))
     lifts = totals.select(
-        "_range", *[(F.sum(f"_all_{m}").over(earlier) - F.col(f"_all_{m}")).alias(f"_lift_{m}") for m in measures]
+        "_range",
+        *[(F.sum(f"_all_{m}").over(across) - F.col(f"_all_{m}")).alias(f"_lift_{m}") for m in measures],
+        *[F.lead(f"_first_{m}").over(across).alias(f"_after_{m}") for m in measures],
     )
     within = Window.partitionBy("_range").orderBy(direction(value))
+    nexts = [
+        F.coalesce(F.lead(m).over(within), F.col(f"_after_{m}")).alias(f"next_{m}") for m in measures if with_next
+    ]
     # one row per range, a count known here
     joined = ranged.join(F.broadcast(lifts) if ranges <= 100_000 else lifts, "_range")
     return joined.select(
         *counts.columns,
         *[(F.sum(m).over(within) + F.col(f"_lift_{m}")).alias(f"cum_{m}") for m in measures],
+        *nexts,
     )
 
 

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickwatch.functions.scalars import to_units
+
 RECENT_COLUMNS = (
     "ts", "user_id_hash", "ad_id", "campaign_id", "geo", "platform", "cpc", "ctr", "conversion", "bounce_rate",
 )
 
 
-def _mean(units_of: str, digits: int) -> Column:
+def _mean(column: str, digits: int) -> Column:
     """Mean of a decimal column from its exact whole-number sum."""
-    units = F.sum((F.col(units_of) * 10**digits).cast("bigint"))
-    return units / F.lit(float(10**digits)) / F.count(units_of)
+    return F.sum(to_units(F.col(column), digits)) / F.lit(float(10**digits)) / F.count(column)
 
 
 def total_events(events: DataFrame) -> DataFrame:

@@ -25,21 +25,21 @@ _DOUBLE_DIGITS = 9
 _RATIOS = {"ctr": C.CTR_DIGITS, "bounce_rate": C.BOUNCE_DIGITS}
 
 
-def _input_digits(df: DataFrame, column: str) -> tuple[int, bool]:
+def _input_digits(df: DataFrame, column: str) -> int:
     kind = df.schema[column].dataType
     if isinstance(kind, T.DecimalType):
-        return max(kind.scale, _RATIOS[column]), True
-    return _DOUBLE_DIGITS, False
+        return max(kind.scale, _RATIOS[column])
+    return _DOUBLE_DIGITS
 
 
 def _sums(df: DataFrame) -> list[Column]:
-    ctr, bounce = (to_units(F.col(c), *_input_digits(df, c)) for c in _RATIOS)
+    ctr, bounce = (to_units(F.col(c), _input_digits(df, c)) for c in _RATIOS)
     return [F.sum(ctr).alias("c"), F.sum(bounce).alias("b"), F.count(F.lit(1)).alias("n")]
 
 
 def _means(df: DataFrame) -> list[Column]:
     n = F.col("n")
-    ctr_digits, bounce_digits = (_input_digits(df, c)[0] for c in _RATIOS)
+    ctr_digits, bounce_digits = (_input_digits(df, c) for c in _RATIOS)
     return [
         half_up_mean(F.col("c"), n, ctr_digits, C.CTR_DIGITS).alias("ctr_avg"),
         half_up_mean(F.col("b"), n, bounce_digits, C.BOUNCE_DIGITS).alias("bounce_rate_avg"),

@@ -36,7 +36,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register under the function's name; one trailing underscore is for names in use here."""
+    QUERIES[fn.__name__.removesuffix("_")] = fn
     return fn
 
 
@@ -117,12 +118,12 @@ def _micros(df: DataFrame, name: str) -> DataFrame:
 
 
 @query
-def sliding_window_features(spark, sf_dir):
+def sliding_features_(spark, sf_dir):
     return as_messages(_features(spark, sf_dir))
 
 
 @query
-def tumbling_window_features(spark, sf_dir):
+def tumbling_features_(spark, sf_dir):
     return as_messages(tumbling_features(clickstream.clicks(spark, sf_dir)))
 
 
@@ -510,6 +511,12 @@ def roc_curve(spark, sf_dir):
     return _rounded(points, "fpr", "tpr", "threshold")
 
 
+@query
+def roc_curve_corners(spark, sf_dir):
+    counts = evaluation.threshold_counts(_labelled_scores(spark, sf_dir))
+    return _rounded(evaluation.roc_curve(counts, drop_intermediate=True), "fpr", "tpr", "threshold")
+
+
 @query
 def random_label_auc(spark, sf_dir):
     labelled = evaluation.random_labels(_fixed_scores(spark, sf_dir))
@@ -519,15 +526,28 @@ def random_label_auc(spark, sf_dir):
 
 @query
 def forest_evaluation(spark, sf_dir):
-    """The whole offline path with a fitted forest: fit, inject, score, threshold, metrics."""
+    """The whole offline path with a fitted forest: fit, inject, score, threshold, metrics.
+
+    One row per flagging rule: the score quantile of the evaluated rows, and the
+    contamination offset of the training rows.
+    """
     ds = _dataset(spark, sf_dir)
+    scorer = _fitted(ds)
     rows = stage(ds.bounded.filter(~ds.is_train), "validation")
     inputs = dataset.model_inputs(evaluation.inject(rows, ds.params.count_cap), ds.params.count_cap, "label")
-    labelled = stage(forest.with_scores(dataset.standardized(inputs, ds.params), _fitted(ds)), "labelled")
-    tau = scoring.alert_threshold(labelled)
+    labelled = stage(forest.with_scores(dataset.standardized(inputs, ds.params), scorer), "labelled")
     auc = evaluation.roc_auc(evaluation.threshold_counts(labelled)).first()["roc_auc"]
-    cells = evaluation.confusion_metrics(labelled, F.col("anomaly_score") >= F.lit(tau))
-    return cells.withColumns({"roc_auc": F.lit(auc), "threshold": F.lit(tau)})
+    tau = scoring.alert_threshold(labelled)
+    offset = scoring.contamination_offset(forest.with_scores(ds.train, scorer))
+    score = F.col("anomaly_score")
+    rules_of = {"quantile": (tau, score >= F.lit(tau)), "contamination": (-offset, score > F.lit(-offset))}
+    parts = [
+        evaluation.confusion_metrics(labelled, flag).withColumns(
+            {"rule": F.lit(name), "threshold": F.lit(limit), "roc_auc": F.lit(auc)}
+        )
+        for name, (limit, flag) in rules_of.items()
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 # --- monitoring ------------------------------------------------------------------------------------------------------
@@ -582,7 +602,7 @@ def partition_lag(spark, sf_dir):
 
 
 @query
-def seasonal_levels(spark, sf_dir):
+def seasonal_residuals_(spark, sf_dir):
     rows = seasonal_residuals(_features(spark, sf_dir)).drop("window_end", "event_count")
     return _rounded(
         _iso(rows, "window_start"),

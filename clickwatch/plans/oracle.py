@@ -340,8 +340,8 @@ CTR_LEVEL = f"({C.CTR_BASE}::double * {level(HOUR, C.CTR_AMPLITUDE)})"
 BOUNCE_LEVEL = f"({C.BOUNCE_BASE}::double / greatest({C.BOUNCE_LEVEL_FLOOR}::double, {level(HOUR, C.BOUNCE_AMPLITUDE)}))"
 
 ORACLE: dict[str, str] = {
-    "sliding_window_features": sql("features", f"SELECT {WINDOW_COLUMNS} FROM features"),
-    "tumbling_window_features": sql("tumbling", f"SELECT {WINDOW_COLUMNS} FROM tumbling"),
+    "sliding_features": sql("features", f"SELECT {WINDOW_COLUMNS} FROM features"),
+    "tumbling_features": sql("tumbling", f"SELECT {WINDOW_COLUMNS} FROM tumbling"),
     "parse_events": sql("parsed", "SELECT * FROM parsed"),
     "valid_events": sql("valid", "SELECT * FROM valid"),
     "invalid_events": sql("checked", "SELECT event_id, failed_rules FROM checked WHERE failed_rules <> ''"),
@@ -407,6 +407,14 @@ FROM (SELECT count(*) FILTER (WHERE flagged AND label = 1) AS tp, count(*) FILTE
 SELECT round(sum(n) OVER w / sum(n) OVER ()::double, 9) AS fpr, round(sum(p) OVER w / sum(p) OVER ()::double, 9) AS tpr, round(s, 9) AS threshold
 FROM (SELECT anomaly_score AS s, count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label = 0) AS n FROM labelled GROUP BY 1)
 WINDOW w AS (ORDER BY s DESC)
+UNION ALL SELECT 0, 0, NULL"""),
+    "roc_curve_corners": sql("labelled", """
+SELECT round(fp / total_n::double, 9) AS fpr, round(tp / total_p::double, 9) AS tpr, round(s, 9) AS threshold
+FROM (SELECT s, sum(n) OVER w AS fp, sum(p) OVER w AS tp, sum(n) OVER () AS total_n, sum(p) OVER () AS total_p,
+        lead(n) OVER w IS NOT DISTINCT FROM n AND lead(p) OVER w IS NOT DISTINCT FROM p AS repeated
+      FROM (SELECT anomaly_score AS s, count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label = 0) AS n FROM labelled GROUP BY 1)
+      WINDOW w AS (ORDER BY s DESC))
+WHERE NOT repeated
 UNION ALL SELECT 0, 0, NULL"""),
     "random_label_auc": sql("random_labelled", f"SELECT round(auc, 9) AS roc_auc, round(auc, 9) <= {C.RANDOM_LABEL_MAX_AUC} AS plausible FROM ({auc('random_labelled')})"),
     "score_histogram": sql("fixed", HISTOGRAM),
@@ -415,7 +423,7 @@ UNION ALL SELECT 0, 0, NULL"""),
     "alert_rate": sql("flags", f"SELECT {iso('time_bucket(INTERVAL 5 minutes, window_end)')} AS window_start, round(count(*) / 300.0::double, 9) AS per_second FROM flags WHERE is_anomaly GROUP BY 1"),
     "latency_p95": sql("clicks", P95),
     "partition_lag": sql("clicks", "SELECT 'clickstream' AS topic, (user_id % 3)::int AS partition, count(*) AS highwater, count(*) FILTER (WHERE ts <= TIMESTAMP '2024-01-01 05:00:00') AS committed, greatest(0, count(*) - count(*) FILTER (WHERE ts <= TIMESTAMP '2024-01-01 05:00:00')) AS lag FROM clicks GROUP BY 2 HAVING committed > 0"),
-    "seasonal_levels": sql("features", f"""
+    "seasonal_residuals": sql("features", f"""
 SELECT {iso('window_start')} AS window_start, geo, platform, ctr_avg, bounce_rate_avg,
   round({level(HOUR, C.DIURNAL_AMPLITUDE)} * CASE WHEN isodow(features.window_start) >= 6 THEN {C.WEEKEND_FACTOR}::double ELSE 1.0::double END, 9) AS volume_factor,
   round({CTR_LEVEL}, 9) AS expected_ctr, round({BOUNCE_LEVEL}, 9) AS expected_bounce,

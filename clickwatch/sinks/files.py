@@ -42,10 +42,14 @@ def lake_rows(events: DataFrame, time: str = "timestamp") -> DataFrame:
 
 
 def write_lake(events: DataFrame, root: str, time: str = "timestamp", rows_per_file: int = 1_000_000) -> None:
-    """Events as JSON under y/m/d/h; ranges of time keep a busy hour in several tasks."""
+    """Events as JSON under y/m/d/h.
+
+    Rows of an hour are brought together so that it gets few files; the rebalance
+    splits an hour holding most rows over several tasks and merges small ones.
+    """
     (
         lake_rows(events, time)
-        .repartitionByRange(time)
+        .hint("rebalance", *[F.col(c) for c in LAKE_PARTITIONS])
         .write.mode("append")
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy(*LAKE_PARTITIONS)

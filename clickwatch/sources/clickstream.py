@@ -8,11 +8,13 @@ of it faulty, the way they would arrive on a topic.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickwatch.functions import rules
-from clickwatch.functions.scalars import pseudonymous_id
+from clickwatch.functions.scalars import pseudonymous_id, to_units
 from clickwatch.functions.timefmt import iso_utc, parse_utc
 from clickwatch.schemas import CLICK_EVENT, WINDOW_EVENT, struct
 from clickwatch.session import use_utc
@@ -47,8 +49,13 @@ def squeezed_time() -> Column:
     return F.timestamp_micros(F.lit(EPOCH_START_MICROS) + F.call_function("div", shifted, F.lit(TIME_SQUEEZE)))
 
 
+def _decimal(units: Column, digits: int) -> Column:
+    """Whole units of 10^-digits as a decimal."""
+    return (units.cast("decimal(6,0)") * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(10,{digits})")
+
+
 def to_clicks(ev: DataFrame) -> DataFrame:
-    cents = F.round(F.col("value") * 100).cast("bigint")
+    cents = to_units(F.col("value"), 2)
     share = F.pmod(F.col("event_id"), F.lit(20))
     return ev.select(
         "event_id",
@@ -59,10 +66,10 @@ def to_clicks(ev: DataFrame) -> DataFrame:
         F.element_at(F.array(*map(F.lit, GEOS)), (F.col("user_id") % 10).cast("int") + 1).alias("geo"),
         F.when(share < 9, "web").when(share < 15, "android").otherwise("ios").alias("platform"),
         F.concat(F.lit("agent/"), F.col("event_type")).alias("user_agent"),
-        ((F.lit(100) + cents % 1100) / F.lit(1000.0)).cast("decimal(10,3)").alias("cpc"),
-        ((cents % 500) / F.lit(10000.0)).cast("decimal(10,4)").alias("ctr"),
+        _decimal(F.lit(100) + cents % 1100, 3).alias("cpc"),
+        _decimal(cents % 500, 4).alias("ctr"),
         F.when(F.col("event_type") == "purchase", 1).otherwise(0).alias("conversion"),
-        ((F.lit(200) + (cents * 7) % 700) / F.lit(1000.0)).cast("decimal(10,3)").alias("bounce_rate"),
+        _decimal(F.lit(200) + (cents * 7) % 700, 3).alias("bounce_rate"),
     )
 
 

@@ -96,6 +96,19 @@ def test_roc_points(spark, labelled, bucket):
     assert {(r.threshold, r.fpr, r.tpr) for r in got} == want
 
 
+@pytest.mark.parametrize("bucket", [5, 1_000_000])
+def test_dropped_points_lie_on_the_line(spark, labelled, bucket):
+    _, df = labelled
+    counts = evaluation.threshold_counts(df)
+    full = sorted((r.fpr, r.tpr) for r in evaluation.roc_curve(counts, bucket).collect())
+    kept = sorted((r.fpr, r.tpr) for r in evaluation.roc_curve(counts, bucket, drop_intermediate=True).collect())
+    assert set(kept) < set(full) and kept[0] == full[0] and kept[-1] == full[-1]
+    for x, y in set(full) - set(kept):
+        left = max(p for p in kept if p <= (x, y))
+        right = min(p for p in kept if p >= (x, y))
+        assert (y - left[1]) * (right[0] - left[0]) == pytest.approx((x - left[0]) * (right[1] - left[1]))
+
+
 def test_single_class(spark):
     df = spark.createDataFrame([(0.1, 0), (0.2, 0)], "anomaly_score DOUBLE, label INT")
     assert evaluation.roc_auc(evaluation.threshold_counts(df)).first()[0] is None

@@ -30,8 +30,10 @@ def test_entry(spark):
 
 
 def test_forest_evaluation_is_consistent(spark, sf_dir):
-    row = queries()["forest_evaluation"](spark, sf_dir).first()
-    total = row.tp + row.fp + row.fn + row.tn
-    assert row.tp + row.fn == max(1, round(0.02 * total))
-    assert 0 <= row.roc_auc <= 1 and 0 < row.threshold < 1
-    assert row.precision == pytest.approx(row.tp / max(1, row.tp + row.fp))
+    rows = queries()["forest_evaluation"](spark, sf_dir).collect()
+    assert [r.rule for r in rows] == ["quantile", "contamination"]
+    for row in rows:
+        total = row.tp + row.fp + row.fn + row.tn
+        assert row.tp + row.fn == max(1, round(0.02 * total))
+        assert 0 <= row.roc_auc <= 1 and 0 < row.threshold < 1
+        assert row.precision == pytest.approx(row.tp / max(1, row.tp + row.fp))
