@@ -129,8 +129,11 @@ def keep_invalid(df: DataFrame, rules: Rules) -> DataFrame:
 
 
 def failure_counts(df: DataFrame, rules: Rules) -> DataFrame:
-    """Rows failing each rule, rules without failures left out; one aggregate row is shuffled."""
-    counts = df.agg(*[F.count_if(~F.coalesce(ok, F.lit(False))).alias(name) for name, ok in rules.items()])
+    """Rows failing each rule, rules without failures left out; one aggregate row is shuffled.
+
+    Only rows with some failure reach the rule-by-rule count.
+    """
+    counts = df.filter(~_all_hold(rules)).agg(*[F.count_if(~F.coalesce(ok, F.lit(False))).alias(name) for name, ok in rules.items()])
     entries = [F.struct(F.lit(name).alias("rule"), F.col(name).alias("failures")) for name in rules]
     return counts.select(F.inline(F.array(*entries))).filter("failures > 0")
 
@@ -141,5 +144,5 @@ def quality_metrics(rules: Rules) -> list[Column]:
     return [
         F.count(F.lit(1)).alias("processed"),
         F.count_if(ok).alias("valid"),
-        F.count_if(~ok).alias("invalid"),
+        (F.count(F.lit(1)) - F.count_if(ok)).alias("invalid"),
     ]

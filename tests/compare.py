@@ -25,7 +25,8 @@ def duck(sf_dir: str):
     for table in TABLES:
         path = f"{sf_dir}/{table}.parquet"
         if os.path.exists(path):
-            con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path}'")
+            files = f"{path}/*.parquet" if os.path.isdir(path) else path
+            con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{files}'")
     return con
 
 

@@ -1,6 +1,8 @@
 """Every registered query against its SQL twin on the smallest tables."""
 
 import pytest
+from pyspark.sql import functions as F
+
 from compare import difference, duck
 
 from __spark_entry__ import entry, oracle_sql, queries
@@ -18,6 +20,16 @@ def test_query_equals_sql(spark, sf_dir, con, name):
     assert difference(queries()[name](spark, sf_dir), con, oracle_sql()[name]) is None
 
 
+@pytest.mark.parametrize("name", ["sliding_features", "stream_sliding_features", "roc_auc"])
+def test_tables_of_many_files_with_a_busy_key(spark, sf_dir, tmp_path, name):
+    """The table as a folder of files, a third of its rows from one user."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    busy = F.when(F.col("event_id") % 3 == 0, 10).otherwise(F.col("user_id")).cast("bigint")
+    events.withColumn("user_id", busy).repartition(5).write.parquet(str(tmp_path / "events.parquet"))
+    df = queries()[name](spark, str(tmp_path))
+    assert difference(df, duck(str(tmp_path)), oracle_sql()[name]) is None
+
+
 def test_only_fitted_forest_queries_lack_sql():
     assert set(queries()) - set(oracle_sql()) == NO_SQL
     assert set(oracle_sql()) <= set(queries())
