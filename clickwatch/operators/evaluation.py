@@ -21,11 +21,9 @@ def _drawn(rows: DataFrame, seed: int, purpose: str) -> DataFrame:
     return rows.withColumn(DRAW, F.md5(F.concat_ws("|", row_key_text(seed), F.lit(purpose))))
 
 
-def _random_rows(rows: DataFrame, k: int, seed: int, purpose: str) -> DataFrame:
-    """`k` random rows: those with the smallest hashes, found by counting."""
-    keyed = _drawn(rows, seed, purpose)
-    cutoff = kth_key(keyed, k, [F.substring(DRAW, 1, 3), F.substring(DRAW, 1, 6)], [DRAW, *ORDER])
-    return keyed.filter(up_to_key(cutoff)).drop(DRAW)
+def _is_drawn(drawn: DataFrame, k: int) -> Column:
+    """True for the `k` rows with the smallest hashes; the cutoff is found by counting."""
+    return up_to_key(kth_key(drawn, k, [F.substring(DRAW, 1, 3), F.substring(DRAW, 1, 6)], [DRAW, *ORDER]))
 
 
 def anomaly_count(total: int, rate: float = C.INJECTION_RATE) -> int:
@@ -33,11 +31,13 @@ def anomaly_count(total: int, rate: float = C.INJECTION_RATE) -> int:
 
 
 def pick_uniform(rows: DataFrame, rate: float = C.INJECTION_RATE, seed: int = C.FOREST_SEED) -> DataFrame:
-    return _random_rows(rows, anomaly_count(rows.count(), rate), seed, "pick")
+    """Mark random rows in `picked`: a comparison per row, no sort, join or shuffle of the table."""
+    drawn = _drawn(rows, seed, "pick")
+    return drawn.withColumn("picked", _is_drawn(drawn, anomaly_count(rows.count(), rate))).drop(DRAW)
 
 
 def pick_stratified(rows: DataFrame, rate: float = C.INJECTION_RATE, seed: int = C.FOREST_SEED) -> DataFrame:
-    """The same number of rows from every (geo, platform), then cut or topped up to the total."""
+    """Mark the same number of rows of every (geo, platform), then cut or top up to the total."""
     k = anomaly_count(rows.count(), rate)
     strata = rows.select(*KEYS).distinct().count()
     per_stratum = max(1, k // strata)
@@ -49,43 +49,47 @@ def pick_stratified(rows: DataFrame, rate: float = C.INJECTION_RATE, seed: int =
     have = chosen.count()
     if have > k:
         levels = [F.to_date("window_end"), F.col("window_end")]
-        return chosen.filter(up_to_key(kth_key(chosen, k, levels, ORDER)))
-    if have < k:
-        pool = rows.join(chosen.select(*ORDER), list(ORDER), "left_anti")
-        return chosen.unionByName(_random_rows(pool, k - have, seed, "top-up"))
-    return chosen
-
-
-def _altered(picked: DataFrame, cap: float, seed: int) -> DataFrame:
-    """Picked rows with one of four kinds of change and a shared small jitter."""
-    u = hash_uniforms(row_key_text(seed), 7)
-    drawn = picked.select(
-        *picked.columns, *[ui.alias(f"_u{i}") for i, ui in enumerate(u)]
-    ).withColumn("kind", F.element_at(F.array(*map(F.lit, C.INJECTION_KINDS)), F.floor(F.col("_u0") * 4).cast("int") + 1))
+        chosen = chosen.filter(up_to_key(kth_key(chosen, k, levels, ORDER)))
+    elif have < k:
+        pool = _drawn(rows.join(chosen.select(*ORDER), list(ORDER), "left_anti"), seed, "top-up")
+        chosen = chosen.unionByName(pool.filter(_is_drawn(pool, k - have)).drop(DRAW))
+    marks = chosen.select(*ORDER, F.lit(True).alias("picked"))
+    return rows.join(marks, list(ORDER), "left").withColumn("picked", F.coalesce("picked", F.lit(False)))
+
+
+def _changed(marked: DataFrame, cap: float, seed: int) -> DataFrame:
+    """Marked rows get one of four kinds of change and a shared small jitter."""
+    u = hash_uniforms(row_key_text(seed), 6)
+    kinds = F.array(*map(F.lit, C.INJECTION_KINDS))
+    drawn = marked.select("*", *[ui.alias(f"_u{i}") for i, ui in enumerate(u)]).withColumn(
+        "kind", F.when(F.col("picked"), F.element_at(kinds, F.floor(F.col("_u0") * 4).cast("int") + 1))
+    )
     kind, u1, u2, u3 = F.col("kind"), F.col("_u1"), F.col("_u2"), F.col("_u3")
-    one, zero = F.lit(1.0), F.lit(0.0)
     ctr_factor = (
         F.when(kind == "ctr_spike", between_uniform(u1, C.CTR_SPIKE_FACTOR))
         .when(kind == "mixed", between_uniform(u1, C.MIXED_CTR_FACTOR))
-        .otherwise(one)
+        .otherwise(1.0)
     )
     bounce_shift = (
         F.when(kind == "bounce_spike", between_uniform(u2, C.BOUNCE_SPIKE_SHIFT))
         .when(kind == "mixed", between_uniform(u2, C.MIXED_BOUNCE_SHIFT))
-        .otherwise(zero)
+        .otherwise(0.0)
     )
     volume_factor = (
         F.when(kind == "volume_spike", between_uniform(u3, C.VOLUME_SPIKE_FACTOR))
         .when(kind == "mixed", between_uniform(u3, C.MIXED_VOLUME_FACTOR))
-        .otherwise(one)
+        .otherwise(1.0)
     )
     jitter = F.lit(C.JITTER_STD) * standard_normal(F.col("_u4"), F.col("_u5"))
+    changed = {
+        "ctr": clip(F.col("ctr") * ctr_factor + jitter, 0.0, 1.0),
+        "bounce": clip(F.col("bounce") + bounce_shift + jitter, 0.0, 1.0),
+        "count": F.least(F.col("count") * volume_factor, F.lit(float(cap))),
+    }
     return drawn.select(
         *ORDER,
-        clip(F.col("ctr") * ctr_factor + jitter, 0.0, 1.0).alias("ctr"),
-        clip(F.col("bounce") + bounce_shift + jitter, 0.0, 1.0).alias("bounce"),
-        F.least(F.col("count") * volume_factor, F.lit(float(cap))).alias("count"),
-        F.lit(1).alias("label"),
+        *[F.when(F.col("picked"), new).otherwise(F.col(name)).alias(name) for name, new in changed.items()],
+        F.col("picked").cast("int").alias("label"),
         "kind",
     )
 
@@ -97,24 +101,9 @@ def inject(
     seed: int = C.FOREST_SEED,
     stratified: bool = False,
 ) -> DataFrame:
-    """`rows` (natural units) with a known share altered and labelled 1.
-
-    Uniform picking marks rows by comparing their hash with one cutoff, so the
-    table is passed over once and not joined; stratified picking joins the picks.
-    """
-    if stratified:
-        picked = stage(pick_stratified(rows, rate, seed), "picks")
-        untouched = rows.join(picked.select(*ORDER), list(ORDER), "left_anti")
-    else:
-        keyed = _drawn(rows, seed, "pick")
-        k = anomaly_count(rows.count(), rate)
-        cutoff = kth_key(keyed, k, [F.substring(DRAW, 1, 3), F.substring(DRAW, 1, 6)], [DRAW, *ORDER])
-        picked = keyed.filter(up_to_key(cutoff)).drop(DRAW)
-        untouched = keyed.filter(~up_to_key(cutoff)).drop(DRAW)
-    normal = untouched.select(
-        *ORDER, "ctr", "bounce", "count", F.lit(0).alias("label"), F.lit(None).cast("string").alias("kind")
-    )
-    return normal.unionByName(_altered(picked, cap, seed))
+    """`rows` (natural units) with a known share altered and labelled 1, in one pass."""
+    pick = pick_stratified if stratified else pick_uniform
+    return _changed(pick(rows, rate, seed), cap, seed)
 
 
 def confusion_metrics(labelled: DataFrame, predicted: Column, label: str = "label") -> DataFrame:

@@ -21,7 +21,7 @@ from clickwatch.operators.forest import Scorer
 from clickwatch.operators.seasonal import seasonal_residuals
 from clickwatch.operators.windows import KEYS, as_messages, sliding_features, tumbling_features
 from clickwatch.plans.fixed_forest import node_rows
-from clickwatch.schemas import FEATURE_MESSAGE, LENIENT_FEATURE_MESSAGE
+from clickwatch.schemas import FEATURE_MESSAGE, LENIENT_FEATURE_MESSAGE, struct
 from clickwatch.session import new_path, stage
 from clickwatch.sinks import online_store
 from clickwatch.sinks.files import LAKE_PARTITIONS, write_lake, write_offline
@@ -304,7 +304,8 @@ def online_latest(spark, sf_dir):
 @query
 def online_lookup(spark, sf_dir):
     online = stage(feature_store.latest_online(_features(spark, sf_dir)), "online")
-    entities = _parsed(spark, sf_dir).select("event_id", "geo", "platform")
+    raw = clickstream.raw_events(spark, sf_dir)
+    entities = rules.parse_json(raw, struct("geo STRING, platform STRING")).drop(rules.CORRUPT)
     found = feature_store.online_lookup(entities, online, _at("2024-01-04 06:04:00"))
     return _doubles(_iso(found, "event_timestamp"), "ctr_avg", "bounce_rate_avg")
 
