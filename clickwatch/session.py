@@ -24,6 +24,8 @@ def build_session(app_name: str = "clickwatch", master: str | None = None, **con
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        # methods above 8000 bytes are never compiled by the JVM; split them instead
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in settings.items():
@@ -75,6 +77,15 @@ def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+def use_all_cores(df: DataFrame) -> DataFrame:
+    """Spread an input of few, large pieces over the cores before costly work per row.
+
+    Only when that at least doubles the tasks; a table of many files stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Remove what this application has staged, once nothing reads it any more."""
     jvm = spark.sparkContext._jvm

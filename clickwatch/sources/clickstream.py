@@ -17,7 +17,7 @@ from clickwatch.functions import rules
 from clickwatch.functions.scalars import pseudonymous_id, to_units
 from clickwatch.functions.timefmt import iso_utc, parse_utc
 from clickwatch.schemas import CLICK_EVENT, WINDOW_EVENT, struct
-from clickwatch.session import use_utc
+from clickwatch.session import use_all_cores, use_utc
 
 EVENTS_SCHEMA = struct(
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -107,7 +107,8 @@ def to_raw(cl: DataFrame) -> DataFrame:
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_raw(clicks(spark, sf_dir))
+    columns = ("event_id", "ts", "user_id", "event_type", "value")
+    return to_raw(to_clicks(use_all_cores(events(spark, sf_dir).select(*columns))))
 
 
 def to_raw_features(features: DataFrame) -> DataFrame:

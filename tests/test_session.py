@@ -3,7 +3,7 @@ import os
 import pytest
 
 from clickwatch import session
-from clickwatch.session import drop_staged, new_path, shared_folder, stage
+from clickwatch.session import drop_staged, new_path, shared_folder, stage, use_all_cores
 
 
 class _Conf:
@@ -34,6 +34,12 @@ def test_local_mode_may_use_a_folder_of_its_own(monkeypatch):
     assert os.path.isdir(shared_folder(_Session()))
 
 
+def test_only_inputs_of_few_pieces_are_spread(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert use_all_cores(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
+    assert use_all_cores(spark.range(0, 100, 1, cores - 1)).rdd.getNumPartitions() == cores - 1
+
+
 def test_stage_keeps_rows_and_schema_and_can_be_dropped(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
     df = spark.range(10).selectExpr("id", "id % 3 AS part")
