@@ -46,6 +46,12 @@ def count_cap(features: DataFrame) -> tuple[float, float]:
     return quantile, max(quantile, C.COUNT_CAP_FLOOR)
 
 
+def cap_in_use(features: DataFrame) -> float:
+    """The cap alone: when no count exceeds the floor, neither does the quantile."""
+    largest = complete_rows(features).agg(F.max(floored_count())).first()[0] or 0.0
+    return C.COUNT_CAP_FLOOR if largest <= C.COUNT_CAP_FLOOR else count_cap(features)[1]
+
+
 def bounded(features: DataFrame, cap: float) -> DataFrame:
     """Ratios in [0,1], counts in [1, cap]; still in natural units, keys kept."""
     return complete_rows(features).select(
@@ -161,7 +167,6 @@ class Dataset:
     train_size: int
     total_size: int
     params: Preprocessing
-    quantile: float
 
     @property
     def train(self) -> DataFrame:
@@ -178,9 +183,9 @@ def build_dataset(features: DataFrame) -> Dataset:
     Give a table (`stage`d or written): it is passed over for the cap, for the
     boundary row and for the train statistics, each time a small aggregate.
     """
-    quantile, cap = count_cap(features)
+    cap = cap_in_use(features)
     rows = bounded(features, cap)
     inputs = model_inputs(rows, cap)
     is_train, train_size, total = split_at(rows)
     params = fit_scaler(inputs.filter(is_train), cap)
-    return Dataset(rows, inputs, standardized(inputs, params), is_train, train_size, total, params, quantile)
+    return Dataset(rows, inputs, standardized(inputs, params), is_train, train_size, total, params)

@@ -91,9 +91,7 @@ def _fixed_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _labelled_scores(spark: SparkSession, sf_dir: str, stratified: bool = False) -> DataFrame:
     """Validation windows with injected anomalies, prepared and scored by the fixed forest; staged."""
     ds = _dataset(spark, sf_dir)
-    injected = evaluation.inject(
-        stage(ds.bounded.filter(~ds.is_train), "validation"), ds.params.count_cap, stratified=stratified
-    )
+    injected = evaluation.inject(ds.bounded.filter(~ds.is_train), ds.params.count_cap, stratified=stratified)
     inputs = dataset.model_inputs(injected, ds.params.count_cap, "label", "kind")
     return stage(forest.with_scores(dataset.standardized(inputs, ds.params), _fixed_scorer(spark)), "labelled")
 
@@ -347,7 +345,7 @@ def count_cap(spark, sf_dir):
 @query
 def prepared_features(spark, sf_dir):
     features = _feature_table(spark, sf_dir)
-    _, cap = dataset.count_cap(features)
+    cap = dataset.cap_in_use(features)
     return _rounded(_iso(dataset.prepared(features, cap), "window_end"), *MODEL_COLUMNS)
 
 
@@ -407,7 +405,7 @@ def forest_nodes(spark, sf_dir):
 
 
 def _fitted(ds: Dataset) -> Scorer:
-    return forest.load_scorer(forest.fit_forest(stage(ds.train, "train")))
+    return forest.load_scorer(forest.fit_forest(ds.train))
 
 
 @query
@@ -478,8 +476,7 @@ def alerts(spark, sf_dir):
 
 def _injected(spark: SparkSession, sf_dir: str, stratified: bool) -> DataFrame:
     ds = _dataset(spark, sf_dir)
-    rows = stage(ds.bounded.filter(~ds.is_train), "validation")
-    injected = evaluation.inject(rows, ds.params.count_cap, stratified=stratified)
+    injected = evaluation.inject(ds.bounded.filter(~ds.is_train), ds.params.count_cap, stratified=stratified)
     return _rounded(_iso(injected, "window_end"), "ctr", "bounce", "count")
 
 
@@ -534,8 +531,8 @@ def forest_evaluation(spark, sf_dir):
     """
     ds = _dataset(spark, sf_dir)
     scorer = _fitted(ds)
-    rows = stage(ds.bounded.filter(~ds.is_train), "validation")
-    inputs = dataset.model_inputs(evaluation.inject(rows, ds.params.count_cap), ds.params.count_cap, "label")
+    injected = evaluation.inject(ds.bounded.filter(~ds.is_train), ds.params.count_cap)
+    inputs = dataset.model_inputs(injected, ds.params.count_cap, "label")
     labelled = stage(forest.with_scores(dataset.standardized(inputs, ds.params), scorer), "labelled")
     auc = evaluation.roc_auc(evaluation.threshold_counts(labelled)).first()["roc_auc"]
     tau = scoring.alert_threshold(labelled)

@@ -65,6 +65,13 @@ def test_preparation_equals_numpy(features, rows):
     assert np.allclose(got, (x - train.mean(axis=0)) / train.std(axis=0))
 
 
+def test_cap_is_the_floor_for_small_counts_only(spark, features, rows):
+    assert dataset.cap_in_use(features) == pytest.approx(dataset.count_cap(features)[1])
+    small = stage(features.withColumn("event_count", F.least("event_count", F.lit(1000))), "small")
+    assert dataset.cap_in_use(small) == dataset.count_cap(small)[1] == 1000.0
+    assert dataset.cap_in_use(features.limit(0)) == 1000.0
+
+
 def test_train_and_serve_prepare_alike(features):
     ds = dataset.build_dataset(features)
     served = dataset.serving_inputs(features.filter("event_count >= 1"), ds.params).select("window_end", "geo", "platform", *MODEL_COLUMNS)
