@@ -41,18 +41,21 @@ class Search:
     broadcast_rows: int = 1_000_000
 
 
-def _words(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), WORD_SEPARATOR), "")
-
-
 def _exploded(rows: DataFrame, text: Column, width: int) -> DataFrame:
-    """Every shingle of every row as columns w0 .. w<width-1>, beside the columns of `rows`, with their count `n_all`."""
-    split = rows.withColumn("_words", _words(text)).filter(F.size("_words") > 0)
-    n = F.greatest(F.size("_words") - (width - 1), F.lit(1))
+    """Every shingle of every row as columns w0 .. w<width-1>, beside the columns of `rows`, with their count `n_all`.
+
+    The outer form of `inline` keeps the optimizer from repeating the split in a filter of its own.
+    """
+    split = rows.withColumn("_words", F.split(F.lower(F.coalesce(text, F.lit(""))), WORD_SEPARATOR))
+    # separators at the ends leave an empty first or last word
+    first = (F.get("_words", F.lit(0)) == "").cast("int")
+    count = F.size("_words") - first - (F.element_at("_words", -1) == "").cast("int")
+    n = F.when(count > 0, F.greatest(count - (width - 1), F.lit(1))).otherwise(0)
     # a text shorter than a shingle leaves its last words null
-    zipped = F.arrays_zip(*[F.slice("_words", i + 1, F.greatest(n, F.lit(1))).alias(f"w{i}") for i in range(width)])
-    split = split.select(*rows.columns, n.alias("n_all"), zipped.alias("_zip"))
-    return split.select(*rows.columns, "n_all", F.inline("_zip").alias(*[f"w{i}" for i in range(width)]))
+    words = [F.slice("_words", first + (i + 1), F.greatest(F.least(n, count - i), F.lit(0))).alias(f"w{i}") for i in range(width)]
+    zipped = split.select(*rows.columns, n.alias("n_all"), F.arrays_zip(*words).alias("_zip"))
+    every = zipped.select(*rows.columns, "n_all", F.inline_outer("_zip").alias(*[f"w{i}" for i in range(width)]))
+    return every.filter(F.col("w0").isNotNull())
 
 
 def _hash(width: int) -> Column:
