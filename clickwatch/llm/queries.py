@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickwatch.llm import (
+    ann,
     decontaminate,
     language_id,
     mixing,
@@ -102,6 +103,12 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.encoded_documents(table(spark, sf_dir, "documents"), layout)
 
 
+@query
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every twentieth vector."""
+    return ann.search(table(spark, sf_dir, "embeddings"), every=20)
+
+
 @query
 def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL judged by rules, else by the weighted vocabulary."""
