@@ -21,7 +21,7 @@ HEADLINE = (
     "clickstream_events", "daily_stats", "geo_stats", "top_recent_events", "lake_hour_counts", "offline_scan",
     "online_latest", "online_lookup", "asof_features", "count_cap", "time_split", "standardized_features",
     "fixed_forest_scores", "anomaly_scores", "flagged_windows", "inject_uniform", "inject_stratified",
-    "roc_auc", "forest_evaluation", "latency_p95", "seasonal_residuals", "stream_sliding_features",
+    "roc_auc", "forest_evaluation", "latency_p95", "value_auc", "stream_sliding_features",
 )
 
 

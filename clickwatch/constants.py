@@ -17,6 +17,7 @@ WINDOW_SLIDE = "1 minute"
 WATERMARK_DELAY = "30 seconds"
 CHECKPOINT_INTERVAL = "60 seconds"
 LAKE_BATCH_ROWS = 100
+LAKE_FILE_ROWS = 1_000_000
 LAKE_BATCH_INTERVAL = "60 seconds"
 ONLINE_TTL = "3 days"
 CTR_DIGITS = 4
@@ -52,18 +53,10 @@ MIXED_VOLUME_FACTOR = (1.05, 1.25)
 JITTER_STD = 0.001
 RANDOM_LABEL_MAX_AUC = 0.6
 
+CPC_LIMIT = 9_999_999.9995  # rounds into DECIMAL(10,3) below
+
 # --- fixed values: monitoring ---------------------------------------------------
 SCORE_BUCKETS = (0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0, 1.5, 2.0, 3.0, 5.0, 10.0)
 LATENCY_BUCKETS = (0.01, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0)
 RATE_WINDOW = "5 minutes"
 RATE_WINDOW_SECONDS = 300
-
-# --- fixed values: expected level over the day -----------------------------------
-PEAK_HOUR_UTC = 20
-DIURNAL_AMPLITUDE = 0.6
-WEEKEND_FACTOR = 0.85
-CTR_BASE = 0.022
-CTR_AMPLITUDE = 0.35
-BOUNCE_BASE = 0.36
-BOUNCE_AMPLITUDE = 0.20
-BOUNCE_LEVEL_FLOOR = 0.6

@@ -46,11 +46,13 @@ def click_event_rules() -> dict[str, Column]:
         "campaign_id": c("campaign_id").rlike(C.CAMPAIGN_ID_PATTERN),
         "geo": c("geo").rlike(C.GEO_PATTERN),
         "platform": c("platform").isin(*C.PLATFORMS),
-        "user_agent": c("user_agent").rlike(r"\S"),
+        "user_agent": c("user_agent").rlike(r"(?U)\S"),  # Unicode white space is blank too
         "CPC": (c("CPC") >= 0) & ~F.isnan("CPC"),
         "CTR": c("CTR").between(0, 1),
         "conversion": c("conversion").isin(0.0, 1.0),
         "bounce_rate": c("bounce_rate").between(0, 1),
+        # what the event table's DECIMAL(10,3) cannot hold is rejected by name, not by a failed cast
+        "CPC_range": c("CPC") < C.CPC_LIMIT,
     }
 
 

@@ -7,8 +7,6 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from clickwatch import constants as C
-
 
 def clip(x: Column, low: float, high: float) -> Column:
     return F.least(F.greatest(x, F.lit(low)), F.lit(high))
@@ -55,16 +53,3 @@ def between_uniform(u: Column, bounds: tuple[float, float]) -> Column:
 def standard_normal(u1: Column, u2: Column) -> Column:
     """Box-Muller; `1 - u1` keeps the logarithm finite."""
     return F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u1)) * F.cos(F.lit(2 * math.pi) * u2)
-
-
-def daily_level(ts: Column, amplitude: float, peak_hour: int = C.PEAK_HOUR_UTC) -> Column:
-    """Cosine curve over the day around 1, highest at `peak_hour`, never negative."""
-    hour = F.hour(ts) + F.minute(ts) / F.lit(60.0)
-    return F.greatest(
-        F.lit(1.0) + F.lit(amplitude) * F.cos(F.lit(2 * math.pi) * (hour - F.lit(peak_hour)) / F.lit(24.0)),
-        F.lit(0.0),
-    )
-
-
-def weekend_level(ts: Column) -> Column:
-    return F.when(F.weekday(ts) >= 5, F.lit(C.WEEKEND_FACTOR)).otherwise(F.lit(1.0))

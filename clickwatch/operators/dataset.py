@@ -38,18 +38,12 @@ def floored_count() -> Column:
     return F.greatest(F.col("event_count").cast("double"), F.lit(1.0))
 
 
-def count_cap(features: DataFrame) -> tuple[float, float]:
-    """(99.9 % quantile of the floored counts, cap in use)."""
+def count_cap(features: DataFrame) -> tuple[float | None, float]:
+    """(99.9 % quantile of the floored counts, cap in use); without rows no quantile and the least cap."""
     quantile = exact_quantile(
         complete_rows(features).select(floored_count().alias("n")), "n", C.COUNT_CAP_QUANTILE
     )
-    return quantile, max(quantile, C.COUNT_CAP_FLOOR)
-
-
-def cap_in_use(features: DataFrame) -> float:
-    """The cap alone: when no count exceeds the floor, neither does the quantile."""
-    largest = complete_rows(features).agg(F.max(floored_count())).first()[0] or 0.0
-    return C.COUNT_CAP_FLOOR if largest <= C.COUNT_CAP_FLOOR else count_cap(features)[1]
+    return quantile, C.COUNT_CAP_FLOOR if quantile is None else max(quantile, C.COUNT_CAP_FLOOR)
 
 
 def bounded(features: DataFrame, cap: float) -> DataFrame:
@@ -81,6 +75,7 @@ def split_at(rows: DataFrame, ratio: float = C.TRAIN_RATIO) -> tuple[Column, int
 
     The predicate compares a row with the one row at the boundary, so splitting
     the table is a filter: nothing is sorted or shuffled, and parquet can skip.
+    A NULL in time or keys comes last in its place, so every row is in one split.
     """
     total = rows.count()
     train = int(total * ratio)
@@ -183,7 +178,7 @@ def build_dataset(features: DataFrame) -> Dataset:
     Give a table (`stage`d or written): it is passed over for the cap, for the
     boundary row and for the train statistics, each time a small aggregate.
     """
-    cap = cap_in_use(features)
+    cap = count_cap(features)[1]
     rows = bounded(features, cap)
     inputs = model_inputs(rows, cap)
     is_train, train_size, total = split_at(rows)

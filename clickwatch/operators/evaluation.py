@@ -9,7 +9,7 @@ from clickwatch import constants as C
 from clickwatch.functions.scalars import between_uniform, clip, hash_uniforms, standard_normal
 from clickwatch.operators.dataset import ORDER
 from clickwatch.operators.forest import row_key_text
-from clickwatch.operators.ordering import kth_key, running_totals, smallest_per_group, up_to_key
+from clickwatch.operators.ordering import group_cutoffs, kth_key, running_totals, up_to_key
 from clickwatch.operators.windows import KEYS
 from clickwatch.session import stage
 
@@ -37,24 +37,31 @@ def pick_uniform(rows: DataFrame, rate: float = C.INJECTION_RATE, seed: int = C.
 
 
 def pick_stratified(rows: DataFrame, rate: float = C.INJECTION_RATE, seed: int = C.FOREST_SEED) -> DataFrame:
-    """Mark the same number of rows of every (geo, platform), then cut or top up to the total."""
+    """Mark the same number of rows of every (geo, platform), then cut or top up to the total.
+
+    Every step finds cutoffs by counting, so marking is a comparison per row against one
+    small row per stratum; the table is not shuffled. Rows equal in time and keys are marked together.
+    """
     k = anomaly_count(rows.count(), rate)
     strata = rows.select(*KEYS).distinct().count()
-    per_stratum = max(1, k // strata)
-    keyed = _drawn(rows, seed, "pick")
-    chosen = stage(
-        smallest_per_group(keyed, per_stratum, KEYS, F.substring(DRAW, 1, 3), [DRAW, *ORDER]).drop(DRAW),
-        "stratified-picks",
-    )
-    have = chosen.count()
+    drawn = _drawn(rows, seed, "pick")
+    place = [DRAW, *ORDER]
+    prefixes = [F.substring(DRAW, 1, 3), F.substring(DRAW, 1, 6)]
+    cutoffs = group_cutoffs(drawn, max(1, k // max(1, strata)), KEYS, prefixes, place)
+    named = cutoffs.select(*[F.col(c).alias(f"_s_{c}") for c in KEYS], "_cutoff")
+    same = [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in KEYS]
+    # one row per stratum, a count known here
+    marked = drawn.join(F.broadcast(named), same, "left").withColumn("picked", F.struct(*place) <= F.col("_cutoff"))
+    marked = marked.select(*rows.columns, "picked")
+    have = marked.filter("picked").count()
     if have > k:
-        levels = [F.to_date("window_end"), F.col("window_end")]
-        chosen = chosen.filter(up_to_key(kth_key(chosen, k, levels, ORDER)))
-    elif have < k:
-        pool = _drawn(rows.join(chosen.select(*ORDER), list(ORDER), "left_anti"), seed, "top-up")
-        chosen = chosen.unionByName(pool.filter(_is_drawn(pool, k - have)).drop(DRAW))
-    marks = chosen.select(*ORDER, F.lit(True).alias("picked"))
-    return rows.join(marks, list(ORDER), "left").withColumn("picked", F.coalesce("picked", F.lit(False)))
+        cut = kth_key(marked.filter("picked"), k, [F.to_date("window_end"), F.col("window_end")], ORDER)
+        return marked.withColumn("picked", F.col("picked") & up_to_key(cut))
+    if have < k and have < rows.count():
+        pool = _drawn(marked, seed, "top-up")
+        more = _is_drawn(pool.filter("NOT picked"), k - have)
+        return pool.withColumn("picked", F.col("picked") | more).drop(DRAW)
+    return marked
 
 
 def _changed(marked: DataFrame, cap: float, seed: int) -> DataFrame:
@@ -139,9 +146,9 @@ def threshold_counts(labelled: DataFrame, score: str = "anomaly_score", label: s
     )
 
 
-def roc_auc(counts: DataFrame, rows_per_bucket: int = 1_000_000) -> DataFrame:
+def roc_auc(counts: DataFrame) -> DataFrame:
     """Area under the ROC curve, ties counted half; NULL with a single class."""
-    cum = running_totals(counts, "score", ["pos", "neg"], descending=True, rows_per_bucket=rows_per_bucket)
+    cum = running_totals(counts, "score", ["pos", "neg"], descending=True)
     # each step adds a trapezoid: width neg, heights cum_pos - pos and cum_pos
     area = F.sum(F.col("neg").cast("double") * (F.col("cum_pos") - F.col("pos") / F.lit(2.0)))
     return cum.agg(area.alias("area"), F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
@@ -149,16 +156,14 @@ def roc_auc(counts: DataFrame, rows_per_bucket: int = 1_000_000) -> DataFrame:
     )
 
 
-def roc_curve(counts: DataFrame, rows_per_bucket: int = 1_000_000, drop_intermediate: bool = False) -> DataFrame:
+def roc_curve(counts: DataFrame, drop_intermediate: bool = False) -> DataFrame:
     """(fpr, tpr, threshold) per distinct score, from the strictest on.
 
     The starting point (0, 0) has no threshold. `drop_intermediate` leaves out
     points whose step is repeated by the next one, which changes no line drawn.
     """
     totals = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
-    cum = running_totals(
-        counts, "score", ["pos", "neg"], descending=True, rows_per_bucket=rows_per_bucket, with_next=drop_intermediate
-    )
+    cum = running_totals(counts, "score", ["pos", "neg"], descending=True, with_next=drop_intermediate)
     if drop_intermediate:
         repeated = (F.col("next_pos") == F.col("pos")) & (F.col("next_neg") == F.col("neg"))
         cum = cum.filter(~F.coalesce(repeated, F.lit(False)))

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from clickwatch import constants as C
 from clickwatch.operators.windows import KEYS
-from clickwatch.session import broadcast_if_small, stage
+from clickwatch.session import stage
 
 VALUES = ("ctr_avg", "bounce_rate_avg", "event_count")
 
@@ -44,15 +44,13 @@ def from_offline(offline: DataFrame) -> DataFrame:
 def latest_per_key(features: DataFrame, time: str = "window_end", keys: Sequence[str] = KEYS) -> DataFrame:
     """Newest row of each key.
 
-    `max_by` keeps one candidate per key and task before the shuffle, so a key
-    holding most rows costs no more than any other.
+    One `max_by` per column, which hash aggregation takes: one candidate per key and
+    task before the shuffle and no sort, so a key holding most rows costs no more
+    than any other. Rows of a key at one time are deliveries of the same row.
     """
     rest = [c for c in features.columns if c not in keys]
-    return (
-        features.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), F.col(time)).alias("newest"))
-        .select(*keys, "newest.*")
-    )
+    newest = [F.max(time).alias(c) if c == time else F.max_by(c, time).alias(c) for c in rest]
+    return features.groupBy(*keys).agg(*newest)
 
 
 def online_rows(features: DataFrame) -> DataFrame:
@@ -82,16 +80,38 @@ def _ttl(ttl: str) -> Column:
 def online_lookup(entities: DataFrame, online: DataFrame, as_of: Column, ttl: str = C.ONLINE_TTL) -> DataFrame:
     """Latest values for each entity row, NULL when unknown or older than the ttl.
 
-    `online` has one row per (two-letter geo, platform); the row count decides
-    whether it is broadcast.
+    `online` has one row per (two-letter geo, platform); a table of such size is
+    broadcast by its statistics.
     """
     fresh = F.col("event_timestamp") >= as_of - _ttl(ttl)
-    joined = entities.join(broadcast_if_small(online), list(KEYS), "left")
+    joined = entities.join(online, list(KEYS), "left")
     return joined.select(
         *entities.columns, *[F.when(fresh, F.col(v)).alias(v) for v in ("event_timestamp", *VALUES)]
     )
 
 
+def _validity(features: DataFrame) -> DataFrame:
+    """One row per (key, window end) with `_next_end`, the following end of the key.
+
+    Of rows delivered for one end the greatest (count, ratios) stands. A key's history is
+    ordered per day; the last row of a day looks up the first end of the key's next day,
+    found among one row per key and day.
+    """
+    ratios = [v for v in VALUES if v != "event_count"]
+    one = (
+        features.filter(F.col("window_end").isNotNull())
+        .groupBy(*KEYS, "window_end")
+        .agg(F.max(F.struct("event_count", *ratios)).alias("_row"))
+        .select(*KEYS, "window_end", "_row.*", F.to_date("window_end").alias("_day"))
+    )
+    one = stage(one, "asof-features")
+    days = one.groupBy(*KEYS, "_day").agg(F.min("window_end").alias("_first"))
+    days = days.withColumn("_next_first", F.lead("_first").over(Window.partitionBy(*KEYS).orderBy("_day"))).drop("_first")
+    in_day = F.lead("window_end").over(Window.partitionBy(*KEYS, "_day").orderBy("window_end"))
+    joined = one.withColumn("_in_day", in_day).join(days, [*KEYS, "_day"])
+    return joined.select(*KEYS, "window_end", *VALUES, F.coalesce("_in_day", "_next_first").alias("_next_end"))
+
+
 def asof_features(
     rows: DataFrame,
     features: DataFrame,
@@ -101,25 +121,25 @@ def asof_features(
 ) -> DataFrame:
     """For each row the newest feature window that had ended by its time.
 
-    Window ends lie on slide boundaries (`grain`), so within one grain the answer
-    is the same for all rows of a key. Features are spread over the grains they
-    are the newest for, at most keys x grains rows, and the event-sized side does
-    one equi-join on (keys, grain): it is neither sorted nor matched with more
-    than one feature. The spread table is written and counted: a short history is
-    broadcast and the events stay where they are; a long one joins by shuffle,
-    where a busy key is spread over its grains.
+    Features are spread over the grains in which they can be the newest, from their
+    own end to the next one (or the ttl), and joined by equality on (keys, grain); of
+    the few features that share a grain the one whose validity holds the row's time
+    matches. Window ends may lie anywhere and be delivered repeatedly. The event-sized
+    side is neither sorted nor matched twice, and a busy key is spread over its grains.
+    Rows without key or time have no feature.
     """
     age = _ttl(ttl)
+    valid = _validity(features)
+    until = F.least(F.coalesce("_next_end", F.col("window_end") + age), F.col("window_end") + age)
     step = F.expr(f"INTERVAL 1 {grain}")
-    per_key = Window.partitionBy(*KEYS).orderBy("window_end")
-    valid_to = F.least(
-        F.coalesce(F.lead("window_end").over(per_key) - step, F.col("window_end") + age),
-        F.date_trunc(grain, F.col("window_end") + age),
-    )
-    spread = features.select(*KEYS, "window_end", *VALUES, valid_to.alias("valid_to")).select(
-        *KEYS, "window_end", *VALUES, F.explode(F.sequence("window_end", "valid_to", step)).alias("_grain")
-    )
-    spread = broadcast_if_small(stage(spread, "asof-features"), 1_000_000)
-    joined = rows.withColumn("_grain", F.date_trunc(grain, time)).join(spread, [*KEYS, "_grain"], "left")
-    fresh = F.col("window_end") >= F.col(time) - age
-    return joined.select(*rows.columns, *[F.when(fresh, F.col(v)).alias(v) for v in ("window_end", *VALUES)])
+    grains = F.sequence(F.date_trunc(grain, "window_end"), F.date_trunc(grain, until), step)
+    found = valid.select(*[F.col(k).alias(f"_{k}") for k in KEYS], "window_end", *VALUES, "_next_end", F.explode(grains).alias("_grain_of"))
+    found = stage(found, "asof-grains").alias("f")
+    at = F.col(f"r.{time}")
+    holds = (F.col("f.window_end") <= at) & (F.col("f.window_end") >= at - age)
+    holds = holds & (F.col("f._next_end").isNull() | (at < F.col("f._next_end")))
+    same = (F.date_trunc(grain, at) == F.col("f._grain_of")) & holds
+    for key in KEYS:
+        same = same & (F.col(f"r.{key}") == F.col(f"f._{key}"))
+    joined = rows.alias("r").join(found, same, "left")
+    return joined.select(*[F.col(f"r.`{c}`") for c in rows.columns], *[F.col(f"f.{v}") for v in ("window_end", *VALUES)])

@@ -20,9 +20,8 @@ from clickwatch import constants as C
 from clickwatch.functions.scalars import hash_uniforms
 from clickwatch.operators.dataset import MODEL_COLUMNS, ORDER
 from clickwatch.schemas import FOREST_NODE
-from clickwatch.session import stage
 
-POOL_FACTOR = 4
+INDEX_PREFIXES = 1 << 20
 
 
 def average_path(size: int) -> float:
@@ -61,51 +60,58 @@ def _grow(sample: pd.DataFrame, tree_id: int, depth_limit: int, seed: int) -> pd
     return pd.DataFrame(nodes, columns=FOREST_NODE.fieldNames())
 
 
-def fit_forest(
-    train: DataFrame,
-    trees: int = C.FOREST_TREES,
-    max_samples: int = C.FOREST_MAX_SAMPLES,
-    seed: int = C.FOREST_SEED,
-) -> DataFrame:
-    """Node table of `trees` trees, each grown on its own random rows of `train`.
+def _drawn_rows(train: DataFrame, trees: int, max_samples: int, seed: int) -> tuple[DataFrame, int]:
+    """(rows with `tree_id`, rows per tree): `max_samples` of all rows for every tree, without replacement.
 
-    Rows are drawn in two steps so that the train table is only scanned. A hash of
-    the row key keeps a random pool, every row of a small table and about
-    4 x trees x max_samples of a large one; each tree then draws its rows without
-    replacement from the pool. A random subset of a random subset is uniform over
-    `train`, and all later steps have a size set by the hyper-parameters alone.
+    Rows are thought of in the order of a hash of their key. The driver draws
+    positions in that order, for every tree independently. Counts per hash prefix (at
+    most INDEX_PREFIXES rows) turn a position into a prefix and a rank within it, so only
+    rows of the prefixes hit are ranked, a few per prefix, and joined with the draws.
     """
     spark = train.sparkSession
-    total = train.count()
+    (u,) = hash_uniforms(row_key_text(seed), 1)
+    prefix = F.floor(u * INDEX_PREFIXES).cast("int")
+    rows = train.select(*ORDER, *MODEL_COLUMNS, u.alias("_u"), prefix.alias("prefix"))
+    counts = rows.groupBy("prefix").agg(F.count(F.lit(1)).alias("rows")).toPandas().sort_values("prefix")
+    total = int(counts["rows"].sum())
     if total == 0:
         raise ValueError("cannot fit a forest on no rows")
-    share = min(1.0, POOL_FACTOR * trees * max_samples / total)
-    (u,) = hash_uniforms(row_key_text(seed), 1)
-    pool = train.select(*ORDER, *MODEL_COLUMNS, u.alias("_u")).filter(F.col("_u") < share)
-    numbered = stage(
-        pool.select("*", (F.row_number().over(Window.orderBy("_u", *ORDER)) - 1).cast("bigint").alias("position")),
-        "forest-pool",
-    )
-    pool_size = numbered.count()
-    size = min(max_samples, pool_size)
+    size = min(max_samples, total)
     rng = np.random.default_rng(seed)
+    position = np.concatenate([rng.choice(total, size, replace=False) for _ in range(trees)])
+    ends = counts["rows"].cumsum().to_numpy()
+    at = np.searchsorted(ends, position, "right")
     draws = pd.DataFrame(
         {
             "tree_id": np.repeat(np.arange(trees, dtype=np.int32), size),
-            "position": np.concatenate([rng.choice(pool_size, size, replace=False) for _ in range(trees)]),
+            "prefix": counts["prefix"].to_numpy()[at].astype(np.int32),
+            "rank": (position - ends[at] + counts["rows"].to_numpy()[at] + 1).astype(np.int32),
         }
     )
-    schema = T.StructType([T.StructField("tree_id", T.IntegerType()), T.StructField("position", T.LongType())])
-    drawn = F.broadcast(spark.createDataFrame(draws, schema))  # trees x max_samples pairs, a fixed size
+    # trees x max_samples rows, a fixed size
+    drawn = F.broadcast(spark.createDataFrame(draws, "tree_id INT, prefix INT, rank INT"))
+    hit = rows.join(F.broadcast(drawn.select("prefix").distinct()), "prefix", "left_semi")
+    rank = F.row_number().over(Window.partitionBy("prefix").orderBy("_u", *ORDER, *MODEL_COLUMNS))
+    return hit.withColumn("rank", rank).join(drawn, ["prefix", "rank"]), size
+
+
+def fit_forest(
+    train: DataFrame,
+    trees: int = C.FOREST_TREES,
+    max_samples: int = C.FOREST_MAX_SAMPLES,
+    seed: int = C.FOREST_SEED,
+) -> DataFrame:
+    """Node table of `trees` trees, each grown on its own random rows of `train`."""
+    spark = train.sparkSession
+    drawn, size = _drawn_rows(train, trees, max_samples, seed)
     depth_limit = math.ceil(math.log2(max(size, 2)))
 
     def grow(key: tuple, sample: pd.DataFrame) -> pd.DataFrame:
-        return _grow(sample.sort_values("position"), int(key[0]), depth_limit, seed)
+        return _grow(sample.sort_values(["prefix", "rank"]), int(key[0]), depth_limit, seed)
 
     # the draws are few bytes but much work: spread the trees over the cores instead of by size
     tasks = min(trees, max(8, spark.sparkContext.defaultParallelism))
-    drawn_rows = numbered.join(drawn, "position").repartition(tasks, "tree_id")
-    return drawn_rows.groupBy("tree_id").applyInPandas(grow, FOREST_NODE)
+    return drawn.repartition(tasks, "tree_id").groupBy("tree_id").applyInPandas(grow, FOREST_NODE)
 
 
 def forest_table(spark: SparkSession, nodes: Iterable[tuple]) -> DataFrame:

@@ -1,147 +1,171 @@
-"""Order statistics without ever sorting a large table in one task."""
+"""Order statistics without ever sorting a large table in one task.
+
+One order holds throughout: NULL last, NaN above every number. There is one path
+for tables of any size.
+"""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from clickwatch.session import stage
 
-
-_SORTABLE_ROWS = 100_000
+VALUE_BUCKETS = 4096
 
 
-def kth_key(df: DataFrame, k: int, levels: Sequence[Column], order_by: Sequence[Column | str]) -> Row:
+def kth_key(df: DataFrame, k: int, levels: Sequence[Column], order_by: Sequence[str]) -> Row:
     """The `k`-th smallest row (from 1) by `order_by`, cut to those columns.
 
     Each level is an expression that rises with the order. Rows are counted per
     level value, the one value holding position `k` becomes a filter, and the
-    next level continues inside it; only what is left, at latest after the last
-    level, is sorted. No pass moves rows, only counts.
+    next level continues inside it. What is left after the last level is counted
+    per distinct key, so repeated rows cost one. No pass moves rows, only counts.
     """
-    for level in levels:
-        counts = df.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("rows"))
-        upto = F.sum("rows").over(Window.orderBy("level"))
-        hit = (
-            counts.select("level", "rows", upto.alias("upto"))
-            .filter(F.col("upto") >= k)
-            .orderBy("upto")
-            .first()
-        )
-        if hit is None:
+
+    def hit(counts: DataFrame, names: Sequence[str]) -> Row:
+        upto = F.sum("_rows").over(Window.orderBy(*[F.col(n).asc_nulls_last() for n in names]))
+        row = counts.withColumn("_upto", upto).filter(F.col("_upto") >= k).orderBy("_upto").first()
+        if row is None:
             raise ValueError(f"position {k} is beyond the table")
-        df = df.filter(level == F.lit(hit["level"]))
-        k -= hit["upto"] - hit["rows"]
-        if hit["rows"] <= _SORTABLE_ROWS:
-            break
-    rank = F.row_number().over(Window.orderBy(*order_by))
-    return df.select(*order_by, rank.alias("_rank")).filter(F.col("_rank") == k).drop("_rank").first()
+        return row
+
+    rows = F.count(F.lit(1)).alias("_rows")
+    for level in levels:
+        at = hit(df.groupBy(level.alias("_level")).agg(rows), ["_level"])
+        df = df.filter(level.eqNullSafe(F.lit(at["_level"])))
+        k -= at["_upto"] - at["_rows"]
+    found = hit(df.groupBy(*order_by).agg(rows), order_by)
+    return Row(*order_by)(*[found[n] for n in order_by])
 
 
 def up_to_key(cutoff: Row) -> Column:
-    """True for rows whose columns, compared in order, are not above `cutoff`."""
+    """True for rows whose columns, compared in order, are not above `cutoff`; never NULL."""
     names = cutoff.__fields__
-    verdict = F.col(names[-1]) <= F.lit(cutoff[names[-1]])
-    for name in reversed(names[:-1]):
-        verdict = (F.col(name) < F.lit(cutoff[name])) | ((F.col(name) == F.lit(cutoff[name])) & verdict)
+    verdict = F.lit(True)
+    for name in reversed(names):
+        value = cutoff[name]
+        below = F.col(name).isNotNull() if value is None else F.coalesce(F.col(name) < F.lit(value), F.lit(False))
+        verdict = below | (F.col(name).eqNullSafe(F.lit(value)) & verdict)
     return verdict
 
 
-def smallest_per_group(
-    df: DataFrame, k: int, groups: Sequence[str], bucket: Column, order_by: Sequence[str]
-) -> DataFrame:
-    """The `k` smallest rows of each group by `order_by`.
+def group_cutoffs(df: DataFrame, k: int, groups: Sequence[str], buckets: Sequence[Column], order_by: Sequence[str]) -> DataFrame:
+    """One row per group: `_cutoff`, the struct of `order_by` of its `k`-th smallest row (of its last, if it has fewer).
 
-    `bucket` rises with the order and cuts every group into pieces. Pieces wholly
-    below position `k` pass without being sorted; only the piece where `k` falls
-    is ranked, so a group holding most rows is still many small tasks.
+    As `kth_key`, for all groups at once: rows are counted per group and bucket,
+    and only the bucket where `k` falls goes on to the next, finer one.
     """
-    tagged = df.withColumn("_bucket", bucket)
-    sizes = tagged.groupBy(*groups, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    below = F.sum("_rows").over(Window.partitionBy(*groups).orderBy("_bucket"))
-    wanted = sizes.withColumn("_below", below - F.col("_rows")).filter(F.col("_below") < k)
-    inside = tagged.join(wanted, [*groups, "_bucket"])
-    rank = F.row_number().over(Window.partitionBy(*groups, "_bucket").orderBy(*order_by))
-    whole = F.col("_below") + F.col("_rows") <= k
-    edge = inside.filter(~whole).withColumn("_rank", rank).filter(F.col("_below") + F.col("_rank") <= k)
-    return inside.filter(whole).select(*df.columns).unionByName(edge.select(*df.columns))
+    sought = None
+    rows = F.count(F.lit(1)).alias("_rows")
+    same = lambda a, b: [F.col(f"{a}.{g}").eqNullSafe(F.col(f"{b}.{g}")) for g in groups]
+    keys = [*buckets, F.struct(*order_by)]
+    for i, key in enumerate(keys):
+        counted = df.withColumn("_bucket", key)
+        if sought is not None:
+            inside = [*same("d", "s"), keys[i - 1].eqNullSafe(F.col("s._cutoff"))]
+            counted = counted.alias("d").join(F.broadcast(sought.alias("s")), inside).select("d.*", "_k")
+        else:
+            counted = counted.withColumn("_k", F.lit(k).cast("bigint"))
+        counts = counted.groupBy(*groups, "_bucket", "_k").agg(rows)
+        order = Window.partitionBy(*groups).orderBy("_bucket")
+        total = F.sum("_rows").over(Window.partitionBy(*groups))
+        ranked = counts.select("*", F.sum("_rows").over(order).alias("_upto"), F.least("_k", total).alias("_want"))
+        first = F.min(F.struct(F.col("_bucket").alias("_cutoff"), (F.col("_want") - F.col("_upto") + F.col("_rows")).alias("_k")))
+        # one row per group
+        sought = stage(
+            ranked.filter(F.col("_upto") >= F.col("_want")).groupBy(*groups).agg(first.alias("_f")).select(*groups, "_f.*"), "cutoffs"
+        )
+    return sought.drop("_k")
 
 
 def running_totals(
-    counts: DataFrame,
-    value: str,
-    measures: Sequence[str],
-    descending: bool = False,
-    rows_per_bucket: int = 1_000_000,
-    distinct: int | None = None,
-    with_next: bool = False,
+    counts: DataFrame, value: str, measures: Sequence[str], descending: bool = False, with_next: bool = False, ranges: int | None = None
 ) -> DataFrame:
     """Add `cum_<measure>`: inclusive running sums in order of `value`.
     `with_next` also adds `next_<measure>`, that of the following value.
 
-    `counts` is a staged table with one row per distinct value. It is cut into
-    ranges at literal split points, so every pass sees the same ranges; each range
-    is summed on its own and lifted by the total of the ranges before it.
+    `counts` has one row per distinct value. It is written once in ranges of the
+    value (as many as the session's partitions, or `ranges`); each range is summed
+    on its own and lifted by the total of the ranges before it. NULL comes last
+    and NaN above all numbers; types stay as they are.
     """
-    n = counts.count() if distinct is None else distinct
-    ranges = max(1, math.ceil(n / rows_per_bucket))
-    direction = F.desc if descending else F.asc
-    if ranges == 1:
-        order = Window.orderBy(direction(value))  # at most rows_per_bucket rows
-        nexts = [F.lead(m).over(order).alias(f"next_{m}") for m in measures if with_next]
-        return counts.select("*", *[F.sum(m).over(order).alias(f"cum_{m}") for m in measures], *nexts)
-    points = [i / ranges for i in range(1, ranges)]
-    splits = sorted(set(counts.stat.approxQuantile(value, points, 1 / (8 * ranges))))
-    ranged = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol=value, outputCol="_range").transform(
-        counts.withColumn(value, F.col(value).cast("double"))
-    )
-    pick_first = F.max_by if descending else F.min_by
-    totals = ranged.groupBy("_range").agg(
-        *[F.sum(m).alias(f"_all_{m}") for m in measures], *[pick_first(m, value).alias(f"_first_{m}") for m in measures]
-    )
-    across = Window.orderBy(direction("_range"))
+    direction = F.desc_nulls_last if descending else F.asc_nulls_last
+    dealt = counts.repartitionByRange(*([ranges] if ranges else []), direction(value))
+    ranged = stage(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+    order = [direction(value)]
+    within = Window.partitionBy("_range").orderBy(*order)
+    firsts = ranged.withColumn("_nth", F.row_number().over(within)).filter("_nth = 1")
+    totals = ranged.groupBy("_range").agg(*[F.sum(m).alias(f"_all_{m}") for m in measures])
+    totals = totals.join(firsts.select("_range", *[F.col(m).alias(f"_first_{m}") for m in measures]), "_range")
+    across = Window.orderBy("_range")
     lifts = totals.select(
         "_range",
         *[(F.sum(f"_all_{m}").over(across) - F.col(f"_all_{m}")).alias(f"_lift_{m}") for m in measures],
         *[F.lead(f"_first_{m}").over(across).alias(f"_after_{m}") for m in measures],
     )
-    within = Window.partitionBy("_range").orderBy(direction(value))
     nexts = [
         F.coalesce(F.lead(m).over(within), F.col(f"_after_{m}")).alias(f"next_{m}") for m in measures if with_next
     ]
-    # one row per range, a count known here
-    joined = ranged.join(F.broadcast(lifts) if ranges <= 100_000 else lifts, "_range")
-    return joined.select(
+    # one row per range, at most as many as the session has partitions
+    return ranged.join(F.broadcast(lifts), "_range").select(
         *counts.columns,
         *[(F.sum(m).over(within) + F.col(f"_lift_{m}")).alias(f"cum_{m}") for m in measures],
         *nexts,
     )
 
 
-def exact_quantile(df: DataFrame, column: str, p: float, rows_per_bucket: int = 1_000_000) -> float | None:
-    """The `p` quantile with linear interpolation between neighbours.
+def kth_value(values: DataFrame, column: str, k: int) -> tuple[float, int]:
+    """(`k`-th smallest number, rows up to it) of a double column without NULL and NaN.
 
-    Works on the counts of distinct values, summed before the shuffle, and finds
-    the two positions by distributed running totals.
+    The range of the values is cut into equal buckets that are counted; the bucket holding position
+    `k`, narrowed to its own least and largest value, is the next range, until it is a single
+    value. A pass is one aggregate of at most VALUE_BUCKETS rows.
     """
-    values = df.select(F.col(column).cast("double").alias("value")).filter(F.col("value").isNotNull())
-    counts = stage(values.groupBy("value").agg(F.count(F.lit(1)).alias("rows")), "value-counts")
-    total, distinct = counts.agg(F.sum("rows"), F.count(F.lit(1))).first()
+    v = F.col(column)
+    low, high, _ = values.agg(F.min(v), F.max(v), F.count(v)).first()
+    below = 0
+    while True:
+        if math.isinf(low) or math.isinf(high):  # no finite width: infinities by themselves
+            bucket = F.when(v == float("-inf"), 0).when(v == float("inf"), 2).otherwise(1)
+        elif low < high:
+            # halves keep the width finite
+            width = F.lit(high / 2 - low / 2)
+            bucket = F.least(F.floor((v / 2 - F.lit(low / 2)) / width * VALUE_BUCKETS), F.lit(VALUE_BUCKETS - 1))
+        else:
+            bucket = F.lit(0)
+        counts = (
+            values.filter(v.between(low, high))
+            .groupBy(bucket.cast("int").alias("bucket"))
+            .agg(F.count(F.lit(1)).alias("rows"), F.min(v).alias("low"), F.max(v).alias("high"))
+            .orderBy("bucket")
+            .collect()
+        )
+        for part in counts:
+            if below + part["rows"] >= k:
+                low, high, upto = part["low"], part["high"], below + part["rows"]
+                break
+            below += part["rows"]
+        else:
+            raise ValueError(f"position {k} is beyond the table")
+        if low == high:
+            return low, upto
+
+
+def exact_quantile(df: DataFrame, column: str, p: float) -> float | None:
+    """The `p` quantile with linear interpolation between neighbours; NULL and NaN are left out, None without a number."""
+    values = df.select(F.col(column).cast("double").alias("value")).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    total = values.count()
     if not total:
         return None
     position = (total - 1) * p
-    low, high = math.floor(position), math.ceil(position)
-    cum = running_totals(counts, "value", ["rows"], rows_per_bucket=rows_per_bucket, distinct=distinct)
-    first = F.col("cum_rows") - F.col("rows")
-
-    def holds(rank: int) -> Column:
-        return (first <= rank) & (F.col("cum_rows") > rank)
-
-    found = cum.filter(holds(low) | holds(high)).orderBy("value").collect()  # one or two rows
-    bottom, top = found[0]["value"], found[-1]["value"]
+    low = math.floor(position)
+    bottom, upto = kth_value(values, "value", low + 1)
+    if position == low or upto > low + 1:
+        return bottom
+    top = values.filter(F.col("value") > bottom).agg(F.min("value")).first()[0]
     return bottom + (top - bottom) * (position - low)

@@ -43,15 +43,21 @@ def _meta(*names: str) -> Column:
 
 
 def score_batch(
-    requests: DataFrame, scorer: Scorer, threshold: float, params: Preprocessing = SERVING
+    requests: DataFrame, scorer: Scorer, threshold: float, params: Preprocessing = SERVING, keys: tuple[str, ...] = ()
 ) -> DataFrame:
-    """One response per scorable request, however many there are."""
-    return flagged(scored(requests, scorer, params), threshold).select(
-        "anomaly_score",
-        "is_anomaly",
-        "threshold",
+    """One response per request, with the request's `keys`; one that cannot be scored names its faults in `error`."""
+    checked = rules.check(requests, rules.score_input_rules())
+    ok = F.size("failed_rules") == 0
+    scores = with_scores(serving_inputs(checked, params), scorer)
+    score = F.when(ok, F.col("anomaly_score"))
+    return scores.select(
+        *keys,
+        score.alias("anomaly_score"),
+        (score >= F.lit(threshold)).alias("is_anomaly"),
+        F.lit(threshold).alias("threshold"),
         F.array(*map(F.lit, C.FEATURES_USED)).alias("features_used"),
         _meta("geo", "platform", "timestamp").alias("meta"),
+        F.when(~ok, F.concat(F.lit("invalid: "), F.array_join("failed_rules", ","))).alias("error"),
     )
 
 

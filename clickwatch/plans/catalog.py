@@ -15,21 +15,22 @@ from clickwatch import constants as C
 from clickwatch.functions import rules
 from clickwatch.functions.scalars import pseudonymous_id
 from clickwatch.functions.timefmt import iso_utc
-from clickwatch.operators import dataset, evaluation, feature_store, forest, monitoring, reports, scoring
+from clickwatch.operators import dataset, evaluation, feature_store, forest, monitoring, ordering, reports, scoring
 from clickwatch.operators.dataset import MODEL_COLUMNS, SERVING, Dataset
 from clickwatch.operators.forest import Scorer
-from clickwatch.operators.seasonal import seasonal_residuals
+from clickwatch.operators.training import flag_with_model, train_model
 from clickwatch.operators.windows import KEYS, as_messages, sliding_features, tumbling_features
 from clickwatch.plans.fixed_forest import node_rows
-from clickwatch.schemas import FEATURE_MESSAGE, LENIENT_FEATURE_MESSAGE, struct
+from clickwatch.schemas import CLICKSTREAM_TABLE, FEATURE_MESSAGE, LENIENT_FEATURE_MESSAGE, struct
 from clickwatch.session import new_path, stage
 from clickwatch.sinks import online_store
 from clickwatch.sinks.files import LAKE_PARTITIONS, write_lake, write_offline
-from clickwatch.sinks.tables import append_parquet
+from clickwatch.sinks.tables import append_batch, read_batches
 from clickwatch.sinks.topics import as_json, file_topic_writer
 from clickwatch.sources import clickstream
 from clickwatch.sources.tables import read_offline
 from clickwatch.streaming import jobs
+from clickwatch.streaming.sources import file_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -204,10 +205,10 @@ def events_as_json(spark, sf_dir):
     line = as_json(
         valid,
         "timestamp", "user_id_hash", "ad_id", "campaign_id", "geo", "platform", "user_agent",
-        F.col("CPC").cast("decimal(10,3)").alias("CPC"),
-        F.col("CTR").cast("decimal(10,4)").alias("CTR"),
-        F.col("conversion").cast("int").alias("conversion"),
-        F.col("bounce_rate").cast("decimal(10,3)").alias("bounce_rate"),
+        F.col("CPC").try_cast("decimal(10,3)").alias("CPC"),
+        F.col("CTR").try_cast("decimal(10,4)").alias("CTR"),
+        F.col("conversion").try_cast("int").alias("conversion"),
+        F.col("bounce_rate").try_cast("decimal(10,3)").alias("bounce_rate"),
     )
     return line
 
@@ -314,6 +315,23 @@ def _asof(spark: SparkSession, sf_dir: str, ttl: str) -> DataFrame:
     return _micros(_iso(found, "window_end"), "ts")
 
 
+def _altered_features(features: DataFrame) -> DataFrame:
+    """Features as a careless producer delivers them: off-grid ends, repeated rows and conflicting rows."""
+    shift = F.make_dt_interval(secs=F.pmod(F.col("event_count") * 17, F.lit(60)))
+    moved = features.withColumn("window_end", F.col("window_end") + shift)
+    again = moved.filter(F.col("event_count") % 2 == 0)
+    conflict = again.withColumn("event_count", F.col("event_count") + 1)
+    return moved.unionByName(again).unionByName(conflict)
+
+
+@query
+def asof_features_altered(spark, sf_dir):
+    cl = clickstream.clicks(spark, sf_dir)
+    features = _altered_features(sliding_features(cl))
+    found = feature_store.asof_features(cl.select("event_id", "ts", *KEYS), features, ttl="2 minutes")
+    return _micros(_iso(found, "window_end"), "ts")
+
+
 @query
 def asof_features(spark, sf_dir):
     return _asof(spark, sf_dir, C.ONLINE_TTL)
@@ -339,13 +357,13 @@ def materialize_incremental(spark, sf_dir):
 @query
 def count_cap(spark, sf_dir):
     quantile, cap = dataset.count_cap(_feature_table(spark, sf_dir))
-    return spark.range(1).select(F.round(F.lit(quantile), 9).alias("quantile"), F.round(F.lit(cap), 9).alias("cap"))
+    return spark.range(1).select(F.round(F.lit(quantile).cast("double"), 9).alias("quantile"), F.round(F.lit(cap), 9).alias("cap"))
 
 
 @query
 def prepared_features(spark, sf_dir):
     features = _feature_table(spark, sf_dir)
-    cap = dataset.cap_in_use(features)
+    cap = dataset.count_cap(features)[1]
     return _rounded(_iso(dataset.prepared(features, cap), "window_end"), *MODEL_COLUMNS)
 
 
@@ -356,6 +374,19 @@ def time_split(spark, sf_dir):
     return _iso(rows.withColumn("split", dataset.split_name(is_train)), "window_end")
 
 
+@query
+def time_split_null_keys(spark, sf_dir):
+    """Every row is in one split, those without time or keys too."""
+    fault = F.pmod(F.col("event_count") + F.unix_seconds("window_end"), F.lit(7))
+    rows = _feature_table(spark, sf_dir).select(
+        F.when(fault != 1, F.col("window_end")).alias("window_end"),
+        F.when(fault != 2, F.col("geo")).alias("geo"),
+        F.when(fault != 3, F.col("platform")).alias("platform"),
+    )
+    is_train, _, _ = dataset.split_at(stage(rows, "null-keys"))
+    return _iso(rows.withColumn("split", dataset.split_name(is_train)), "window_end").groupBy("window_end", *KEYS, "split").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query
 def split_sizes(spark, sf_dir):
     rows = _feature_table(spark, sf_dir)
@@ -451,19 +482,30 @@ def anomaly_results(spark, sf_dir):
 
 @query
 def score_batch(spark, sf_dir):
-    requests = scoring.score_requests(jobs.parsed_features(_raw_features(spark, sf_dir), strict=True))
-    responses = scoring.score_batch(requests, _fixed_scorer(spark), C.SERVING_THRESHOLD)
+    """Responses to all feature messages, unreadable and invalid ones included."""
+    parsed = rules.parse_json(_raw_features(spark, sf_dir), LENIENT_FEATURE_MESSAGE)
+    responses = scoring.score_batch(scoring.score_requests(parsed), _fixed_scorer(spark), C.SERVING_THRESHOLD)
     meta = F.col("meta")
     return _rounded(
         responses.select(
             "anomaly_score", "is_anomaly", "threshold",
             F.array_join("features_used", ",").alias("features_used"),
-            meta["geo"].alias("geo"), meta["platform"].alias("platform"), meta["timestamp"].alias("timestamp"),
+            meta["geo"].alias("geo"), meta["platform"].alias("platform"), meta["timestamp"].alias("timestamp"), "error",
         ),
         "anomaly_score", "threshold",
     )
 
 
+@query
+def fitted_alerts(spark, sf_dir):
+    """Alerts of a model that was fitted, stored and read back."""
+    features = _feature_table(spark, sf_dir)
+    path = new_path(spark, "model")
+    train_model(features, path)
+    messages = scoring.alerts(_iso(flag_with_model(features, path), "window_start", "window_end"))
+    return messages.select("ts", "geo", "platform", "event_count", "anomaly_score", "threshold")
+
+
 @query
 def alerts(spark, sf_dir):
     messages = scoring.alerts(_iso(_fixed_flags(spark, sf_dir), "window_start", "window_end"))
@@ -515,6 +557,23 @@ def roc_curve_corners(spark, sf_dir):
     return _rounded(evaluation.roc_curve(counts, drop_intermediate=True), "fpr", "tpr", "threshold")
 
 
+@query
+def value_quantiles(spark, sf_dir):
+    """Exact quantiles of a column with a different value in nearly every row."""
+    values = stage(clickstream.events(spark, sf_dir).select((F.col("value") + F.col("event_id") / 1e7).alias("x")), "values")
+    rows = [(p, ordering.exact_quantile(values, "x", p)) for p in (0.0, 0.02, 0.5, 0.98, 0.999, 1.0)]
+    return _rounded(spark.createDataFrame(rows, "p DOUBLE, quantile DOUBLE"), "quantile")
+
+
+@query
+def value_auc(spark, sf_dir):
+    """AUC of a continuous score over many ranges; events without a value take the last place."""
+    ev = clickstream.events(spark, sf_dir)
+    score = F.when(F.col("event_id") % 11 != 0, F.col("value") + F.col("event_id") / 1e7)
+    labelled = ev.select(score.alias("anomaly_score"), (F.col("event_type") == "purchase").cast("int").alias("label"))
+    return _rounded(evaluation.roc_auc(evaluation.threshold_counts(labelled)), "roc_auc")
+
+
 @query
 def random_label_auc(spark, sf_dir):
     labelled = evaluation.random_labels(_fixed_scores(spark, sf_dir))
@@ -599,15 +658,6 @@ def partition_lag(spark, sf_dir):
     return monitoring.partition_lag(highwater, committed)
 
 
-@query
-def seasonal_residuals_(spark, sf_dir):
-    rows = seasonal_residuals(_features(spark, sf_dir)).drop("window_end", "event_count")
-    return _rounded(
-        _iso(rows, "window_start"),
-        "volume_factor", "expected_ctr", "expected_bounce", "ctr_residual", "bounce_residual",
-    )
-
-
 # --- streaming, run to the end of what is there -----------------------------------------------------------------------
 
 
@@ -632,15 +682,41 @@ def stream_sliding_features(spark, sf_dir):
     return jobs.parsed_features(spark.read.schema("value STRING").text(path), strict=True)
 
 
+@query
+def stream_late_events(spark, sf_dir):
+    """Three runs of the window job on one checkpoint; the third brings rows whose windows have closed."""
+    topic, path, checkpoint = (new_path(spark, x) for x in ("late-topic", "late-features", "late-checkpoint"))
+    cl = clickstream.clicks(spark, sf_dir)
+    late = (F.col("event_id") % 7 == 0) & (F.col("ts") < _at("2024-01-01 01:00:00"))
+    part = F.when(late, 3).when(F.col("ts") < _at("2024-01-01 02:00:00"), 1).when(F.col("ts") < _at("2024-01-01 04:00:00"), 2).otherwise(3)
+    raw = stage(clickstream.to_raw(cl).join(cl.select("event_id", part.alias("part")), "event_id"), "late-rows")
+    for run in (1, 2, 3):
+        raw.filter(F.col("part") == run).select("value").write.mode("append").text(topic)
+        features = as_json(jobs.feature_stream(file_stream(spark, topic)))
+        jobs.run(file_topic_writer(features, path), checkpoint, available_now=True).awaitTermination()
+    return jobs.parsed_features(spark.read.schema("value STRING").text(path), strict=True)
+
+
+def _ingested(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """(table, quarantine) after one run of the ingest job."""
+    table, bad = new_path(spark, "event-table"), new_path(spark, "quarantine")
+    checked = jobs.checked_events(_raw_event_stream(spark, sf_dir))
+    _run(spark, jobs.ingest_writer(checked, lambda rows, n: append_batch(rows, n, table), lambda rows, n: append_batch(rows, n, bad)))
+    return table, bad
+
+
 @query
 def stream_table_ingest(spark, sf_dir):
-    path = new_path(spark, "event-table")
-    rows, _ = jobs.checked_events(_raw_event_stream(spark, sf_dir))
-    _run(spark, jobs.table_writer(rows, lambda batch: append_parquet(batch, path)))
-    table = spark.read.parquet(path).drop("created_at")
+    table = read_batches(spark, _ingested(spark, sf_dir)[0], CLICKSTREAM_TABLE)
     return _doubles(_micros(table, "timestamp"), "cpc", "ctr", "bounce_rate")
 
 
+@query
+def stream_quarantine(spark, sf_dir):
+    bad = read_batches(spark, _ingested(spark, sf_dir)[1], "value STRING, failed_rules ARRAY<STRING>")
+    return bad.select("value", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
 @query
 def stream_online_latest(spark, sf_dir):
     path = new_path(spark, "online")

@@ -26,10 +26,6 @@ def key_text(alias: str = "") -> str:
     return f"concat_ws('|', cast(epoch({p}window_end) AS bigint)::varchar, {p}geo, {p}platform, '{C.FOREST_SEED}')"
 
 
-def level(hour: str, amplitude: float) -> str:
-    return f"greatest(1.0::double + {amplitude}::double * cos(2 * pi() * ({hour} - {C.PEAK_HOUR_UTC}) / 24.0::double), 0.0::double)"
-
-
 MODEL = ("ctr", "bounce", "log_count")
 # name -> (needs, body); bodies become WITH entries in the order of their needs
 CTES: dict[str, tuple[tuple[str, ...], str]] = {}
@@ -66,7 +62,7 @@ SELECT event_id, CASE WHEN event_id % 50 = 5 THEN substr(v, 1, 40) ELSE v END AS
     '"geo":"' || CASE event_id % 50 WHEN 4 THEN lower(geo) WHEN 6 THEN 'USA' ELSE geo END || '"',
     '"platform":"' || CASE WHEN event_id % 50 = 7 THEN 'desktop' ELSE platform END || '"',
     '"user_agent":"' || CASE WHEN event_id % 50 = 8 THEN '  ' ELSE user_agent END || '"',
-    '"CPC":' || CASE WHEN event_id % 50 = 9 THEN '-0.5' ELSE cpc::varchar END,
+    '"CPC":' || CASE event_id % 50 WHEN 9 THEN '-0.5' WHEN 13 THEN '12345678.5' ELSE cpc::varchar END,
     '"CTR":' || CASE WHEN event_id % 50 = 10 THEN '1.5' ELSE ctr::varchar END,
     '"conversion":' || CASE WHEN event_id % 50 = 11 THEN '2' ELSE conversion::varchar END,
     CASE WHEN event_id % 50 <> 12 THEN '"bounce_rate":' || bounce_rate::varchar END) || '}' AS v
@@ -94,6 +90,7 @@ EVENT_RULES = {
     "CTR": "CTR BETWEEN 0 AND 1",
     "conversion": "conversion IN (0, 1)",
     "bounce_rate": "bounce_rate BETWEEN 0 AND 1",
+    "CPC_range": "CPC < 9999999.9995",
 }
 UPPER_GEO = "length(geo) = 2 AND upper(geo) = geo AND lower(geo) <> geo"
 
@@ -197,6 +194,13 @@ cte("served_messages", "strict_messages", serving("strict_messages"))
 cte("scored_messages", "served_messages",
     f"SELECT *, {score_sql()} AS anomaly_score, {score_sql()} >= {C.SERVING_THRESHOLD!r}::double AS is_anomaly FROM served_messages")
 
+cte("request_checks", "messages", """
+SELECT *, concat_ws(',', CASE WHEN NOT coalesce(ctr_avg BETWEEN 0 AND 1, false) THEN 'ctr_avg' END,
+  CASE WHEN NOT coalesce(bounce_rate_avg BETWEEN 0 AND 1, false) THEN 'bounce_rate_avg' END,
+  CASE WHEN NOT coalesce(event_count >= 1, false) THEN 'event_count' END) AS faults FROM messages
+""")
+cte("served_requests", "request_checks", serving("request_checks WHERE faults = ''"))
+
 # --- evaluation ------------------------------------------------------------------------------
 cte("validation", "bounded", f"""
 SELECT window_end, geo, platform, ctr, bounce, "count", md5({key_text()} || '|pick') AS draw, md5({key_text()} || '|top-up') AS draw2,
@@ -265,6 +269,21 @@ GROUP BY p, n
 
 cte("random_labelled", "fixed", f"SELECT *, ({uniform(key_text() + chr(32) + '|| ' + chr(39) + '|random-label' + chr(39), 0)} < {C.INJECTION_RATE}::double)::int AS label FROM fixed")
 
+# --- late rows: a window takes a row only if it was open after the run before -------------------------
+cte("arrivals", "subset clicks", """
+SELECT s.*, CASE WHEN s.event_id % 7 = 0 AND c.ts < TIMESTAMP '2024-01-01 01:00:00' THEN 3 WHEN c.ts < TIMESTAMP '2024-01-01 02:00:00' THEN 1
+  WHEN c.ts < TIMESTAMP '2024-01-01 04:00:00' THEN 2 ELSE 3 END AS run
+FROM subset s JOIN clicks c USING (event_id)
+""")
+cte("late_windows", "arrivals", """
+SELECT make_timestamp(ws * 1000000) AS window_start, make_timestamp((ws + 300) * 1000000) AS window_end, geo, platform,
+  ((2 * cs + n) // (2 * n)) / 10000.0::double AS ctr_avg, ((2 * bs + n) // (2 * n)) / 1000.0::double AS bounce_rate_avg, n AS event_count
+FROM (SELECT ws, geo, platform, sum(round(ctr * 10000)::bigint)::bigint AS cs, sum(round(bounce_rate * 1000)::bigint)::bigint AS bs, count(*) AS n
+      FROM (SELECT *, (epoch_us(ts) // 60000000) * 60 - 60 * o AS ws,
+              (SELECT max(b.ts) FROM arrivals b WHERE b.run < a.run) - INTERVAL 30 seconds AS closed FROM arrivals a CROSS JOIN range(5) r(o))
+      WHERE closed IS NULL OR make_timestamp((ws + 300) * 1000000) > closed GROUP BY ws, geo, platform)
+""")
+
 # --- feature store ------------------------------------------------------------------------------
 ONLINE = """
 SELECT geo, platform, max(window_end) AS event_timestamp, arg_max(ctr_avg, window_end)::float::double AS ctr_avg,
@@ -308,14 +327,23 @@ MODEL_ROUNDED = rounded(*MODEL)
 END_KEYS = f"{iso('window_end')} AS window_end, geo, platform"
 
 
-def asof(age: str) -> str:
-    return sql("clicks features", f"""
+cte("altered_features", "features", """
+SELECT geo, platform, window_end, event_count, ctr_avg, bounce_rate_avg FROM (
+  SELECT *, row_number() OVER (PARTITION BY geo, platform, window_end ORDER BY event_count DESC, ctr_avg DESC, bounce_rate_avg DESC) AS nth
+  FROM (SELECT geo, platform, window_end + INTERVAL 1 second * ((n * 17) % 60) AS window_end, n + extra AS event_count, ctr_avg, bounce_rate_avg
+        FROM (SELECT *, event_count AS n FROM features) f, (SELECT unnest([0, 1]) AS extra) WHERE extra = 0 OR n % 2 = 0))
+WHERE nth = 1
+""")
+
+
+def asof(age: str, features: str = "features") -> str:
+    return sql(f"clicks {features}", f"""
 SELECT event_id, epoch_us(ts) AS ts, geo, platform,
   CASE WHEN fresh THEN {iso("we")} END AS window_end, CASE WHEN fresh THEN ctr_avg END AS ctr_avg,
   CASE WHEN fresh THEN bounce_rate_avg END AS bounce_rate_avg, CASE WHEN fresh THEN event_count END AS event_count
 FROM (SELECT c.event_id, c.ts, c.geo, c.platform, f.window_end AS we, f.ctr_avg, f.bounce_rate_avg, f.event_count,
         f.window_end >= c.ts - INTERVAL {age} AS fresh
-      FROM clicks c ASOF LEFT JOIN features f ON c.geo = f.geo AND c.platform = f.platform AND c.ts >= f.window_end)
+      FROM clicks c ASOF LEFT JOIN {features} f ON c.geo = f.geo AND c.platform = f.platform AND c.ts >= f.window_end)
 """)
 
 
@@ -335,9 +363,6 @@ FROM (SELECT w, le, low, n, sum(n) OVER (PARTITION BY w ORDER BY le) AS cum, 0.9
 GROUP BY w
 """
 
-HOUR = "(hour(window_start) + minute(window_start) / 60.0::double)"
-CTR_LEVEL = f"({C.CTR_BASE}::double * {level(HOUR, C.CTR_AMPLITUDE)})"
-BOUNCE_LEVEL = f"({C.BOUNCE_BASE}::double / greatest({C.BOUNCE_LEVEL_FLOOR}::double, {level(HOUR, C.BOUNCE_AMPLITUDE)}))"
 
 ORACLE: dict[str, str] = {
     "sliding_features": sql("features", f"SELECT {WINDOW_COLUMNS} FROM features"),
@@ -374,10 +399,17 @@ FROM (SELECT event_id, p.geo, p.platform, o.* EXCLUDE (geo, platform), event_tim
       FROM parsed p LEFT JOIN online o ON p.geo = o.geo AND p.platform = o.platform)"""),
     "asof_features": asof("3 days"),
     "asof_features_short_ttl": asof("30 seconds"),
+    "asof_features_altered": asof("2 minutes", "altered_features"),
     "materialize_incremental": sql("features", f"SELECT * REPLACE ({iso('event_timestamp')} AS event_timestamp) FROM (" + ONLINE.format(source="features WHERE window_end <= TIMESTAMP '2024-01-01 04:30:00'") + ")"),
     "count_cap": sql("cap", "SELECT round(q, 9) AS quantile, round(cap, 9) AS cap FROM cap"),
     "prepared_features": sql("prepared", f"SELECT {END_KEYS}, {MODEL_ROUNDED} FROM prepared"),
     "time_split": sql("bounded", f"SELECT {END_KEYS}, CASE WHEN is_train THEN 'train' ELSE 'val' END AS split FROM bounded"),
+    "time_split_null_keys": sql("features", f"""
+SELECT {iso("window_end")} AS window_end, geo, platform, CASE WHEN at <= floor(0.8::double * total) THEN 'train' ELSE 'val' END AS split, count(*) AS rows
+FROM (SELECT *, row_number() OVER (ORDER BY window_end NULLS LAST, geo NULLS LAST, platform NULLS LAST) AS at, count(*) OVER () AS total
+  FROM (SELECT CASE WHEN fault <> 1 THEN window_end END AS window_end, CASE WHEN fault <> 2 THEN geo END AS geo, CASE WHEN fault <> 3 THEN platform END AS platform
+        FROM (SELECT *, (event_count + epoch(window_end)::bigint) % 7 AS fault FROM features)))
+GROUP BY ALL"""),
     "split_sizes": sql("bounded", "SELECT count(*) FILTER (WHERE is_train) AS train_size, count(*) FILTER (WHERE NOT is_train) AS val_size, count(*) AS total_size FROM bounded"),
     "scaler_fit": sql("scaler", "\nUNION ALL ".join(f"SELECT '{c}' AS feature, round(m_{c}, 9) AS mean, round(s_{c}, 9) AS scale FROM scaler" for c in MODEL)),
     "standardized_features": sql("scaled", f"SELECT {END_KEYS}, CASE WHEN is_train THEN 'train' ELSE 'val' END AS split, {MODEL_ROUNDED} FROM scaled"),
@@ -393,7 +425,10 @@ FROM fixed, (SELECT quantile_cont(-anomaly_score, 0.02) AS off FROM (
     "threshold": sql("tau", "SELECT round(tau, 9) AS threshold FROM tau"),
     "flagged_windows": sql("flags", f"SELECT {END_KEYS}, round(anomaly_score, 9) AS anomaly_score, round(tau, 9) AS threshold, is_anomaly FROM flags"),
     "anomaly_results": sql("flags", f"SELECT {iso('window_end')} AS \"timestamp\", geo, platform, round(anomaly_score, 6) AS anomaly_score, CASE WHEN is_anomaly THEN 'isolation_forest' END AS anomaly_type, is_anomaly, event_count FROM flags"),
-    "score_batch": sql("scored_messages", f"SELECT round(anomaly_score, 9) AS anomaly_score, is_anomaly, round({C.SERVING_THRESHOLD!r}::double, 9) AS threshold, 'ctr_avg,bounce_rate_avg,event_count' AS features_used, geo, platform, window_end AS \"timestamp\" FROM scored_messages"),
+    "score_batch": sql("request_checks served_requests", f"""
+SELECT round({score_sql()}, 9) AS anomaly_score, {score_sql()} >= {C.SERVING_THRESHOLD!r}::double AS is_anomaly, round({C.SERVING_THRESHOLD!r}::double, 9) AS threshold,
+  'ctr_avg,bounce_rate_avg,event_count' AS features_used, geo, platform, window_end AS "timestamp", NULL AS error FROM served_requests
+UNION ALL SELECT NULL, NULL, round({C.SERVING_THRESHOLD!r}::double, 9), 'ctr_avg,bounce_rate_avg,event_count', geo, platform, window_end, 'invalid: ' || faults FROM request_checks WHERE faults <> ''"""),
     "alerts": sql("flags", f"SELECT {iso('window_end')} AS ts, geo, platform, ctr_avg, bounce_rate_avg, event_count, round(anomaly_score, 9) AS anomaly_score, round(tau, 9) AS threshold, {iso('window_start')} AS source_start, {iso('window_end')} AS source_end FROM flags WHERE is_anomaly"),
     "inject_uniform": sql("injected_uniform", f"SELECT {END_KEYS}, {rounded('ctr', 'bounce', 'count')}, label, kind FROM injected_uniform"),
     "inject_stratified": sql("injected_stratified", f"SELECT {END_KEYS}, {rounded('ctr', 'bounce', 'count')}, label, kind FROM injected_stratified"),
@@ -416,6 +451,12 @@ FROM (SELECT s, sum(n) OVER w AS fp, sum(p) OVER w AS tp, sum(n) OVER () AS tota
       WINDOW w AS (ORDER BY s DESC))
 WHERE NOT repeated
 UNION ALL SELECT 0, 0, NULL"""),
+    "value_quantiles": " UNION ALL ".join(
+        f"SELECT {p}::double AS p, round(quantile_cont(value + event_id / 1e7::double, {p}), 9) AS quantile FROM events" for p in (0.0, 0.02, 0.5, 0.98, 0.999, 1.0)),
+    "value_auc": f"""
+WITH scored AS (SELECT coalesce(value + event_id / 1e7::double, -1e300) AS anomaly_score, label FROM (
+  SELECT CASE WHEN event_id % 11 <> 0 THEN value END AS value, event_id, (event_type = 'purchase')::int AS label FROM events))
+SELECT round(auc, 9) AS roc_auc FROM ({auc('scored')})""",
     "random_label_auc": sql("random_labelled", f"SELECT round(auc, 9) AS roc_auc, round(auc, 9) <= {C.RANDOM_LABEL_MAX_AUC} AS plausible FROM ({auc('random_labelled')})"),
     "score_histogram": sql("fixed", HISTOGRAM),
     "scoring_counters": sql("messages scored_messages", "SELECT 'ok' AS counter, count(*) AS total FROM scored_messages UNION ALL SELECT 'error', (SELECT count(*) FROM messages) - count(*) FROM scored_messages UNION ALL SELECT 'alerts', count(*) FILTER (WHERE is_anomaly) FROM scored_messages"),
@@ -423,13 +464,10 @@ UNION ALL SELECT 0, 0, NULL"""),
     "alert_rate": sql("flags", f"SELECT {iso('time_bucket(INTERVAL 5 minutes, window_end)')} AS window_start, round(count(*) / 300.0::double, 9) AS per_second FROM flags WHERE is_anomaly GROUP BY 1"),
     "latency_p95": sql("clicks", P95),
     "partition_lag": sql("clicks", "SELECT 'clickstream' AS topic, (user_id % 3)::int AS partition, count(*) AS highwater, count(*) FILTER (WHERE ts <= TIMESTAMP '2024-01-01 05:00:00') AS committed, greatest(0, count(*) - count(*) FILTER (WHERE ts <= TIMESTAMP '2024-01-01 05:00:00')) AS lag FROM clicks GROUP BY 2 HAVING committed > 0"),
-    "seasonal_residuals": sql("features", f"""
-SELECT {iso('window_start')} AS window_start, geo, platform, ctr_avg, bounce_rate_avg,
-  round({level(HOUR, C.DIURNAL_AMPLITUDE)} * CASE WHEN isodow(features.window_start) >= 6 THEN {C.WEEKEND_FACTOR}::double ELSE 1.0::double END, 9) AS volume_factor,
-  round({CTR_LEVEL}, 9) AS expected_ctr, round({BOUNCE_LEVEL}, 9) AS expected_bounce,
-  round(ctr_avg - {CTR_LEVEL}, 9) AS ctr_residual, round(bounce_rate_avg - {BOUNCE_LEVEL}, 9) AS bounce_residual
-FROM features""".replace("hour(window_start)", "hour(features.window_start)").replace("minute(window_start)", "minute(features.window_start)")),
     "stream_sliding_features": sql("subset subset_features", f"SELECT {WINDOW_COLUMNS} FROM subset_features WHERE subset_features.window_end <= (SELECT max(ts) FROM subset) - INTERVAL 30 seconds"),
+    "stream_late_events": sql("arrivals late_windows", f"""
+SELECT {WINDOW_COLUMNS} FROM late_windows WHERE late_windows.window_end <= (SELECT max(ts) FROM arrivals) - INTERVAL 30 seconds"""),
+    "stream_quarantine": sql("raw checked", "SELECT value, failed_rules FROM checked JOIN raw USING (event_id) WHERE failed_rules <> ''"),
     "stream_table_ingest": sql("table_rows", 'SELECT * EXCLUDE (event_id) REPLACE (epoch_us("timestamp") AS "timestamp") FROM table_rows'),
     "stream_online_latest": sql("lenient_messages", f"SELECT * REPLACE ({iso('event_timestamp')} AS event_timestamp) FROM (" + ONLINE.format(
         source="(SELECT * REPLACE (rtrim(window_end, 'Z')::timestamp AS window_end) FROM lenient_messages WHERE window_end LIKE '%Z')") + ")"),

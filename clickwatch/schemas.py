@@ -80,6 +80,19 @@ FOREST_NODE = struct(
     "size INT, path_length DOUBLE"
 )
 
+# What goes with a node table.
+MODEL_DOCUMENT = T.StructType(
+    [
+        T.StructField("mean", T.ArrayType(T.DoubleType())),
+        T.StructField("scale", T.ArrayType(T.DoubleType())),
+        T.StructField("cnt_cap", T.DoubleType()),
+        T.StructField("threshold", T.DoubleType()),
+        T.StructField("train_size", T.LongType()),
+        T.StructField("total_size", T.LongType()),
+    ]
+)
+METRICS_DOCUMENT = struct("precision DOUBLE, recall DOUBLE, f1 DOUBLE, roc_auc DOUBLE")
+
 
 class MissingColumnsError(ValueError):
     """Raised at plan time when an input lacks required columns."""

@@ -91,12 +91,3 @@ def drop_staged(spark: SparkSession) -> None:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/clickwatch/{spark.sparkContext.applicationId}")
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only when a row count proves the side small.
-
-    Beyond `max_rows` the side stays unhinted and joins by shuffle. Give a staged
-    or written table: the check counts it.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df

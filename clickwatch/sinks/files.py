@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickwatch.operators.feature_store import offline_rows
 from clickwatch.operators.dataset import Preprocessing
+from clickwatch.schemas import MODEL_DOCUMENT
 
 LAKE_PARTITIONS = ("y", "m", "d", "h")
 
@@ -57,12 +59,14 @@ def write_lake(events: DataFrame, root: str, time: str = "timestamp", rows_per_f
     )
 
 
-def write_document(spark, path: str, **fields) -> None:
-    """A one-row JSON document: parameters, sizes, metrics, threshold."""
-    spark.createDataFrame([fields]).coalesce(1).write.mode("overwrite").json(path)
+def write_document(spark, path: str, schema: T.StructType, **fields) -> None:
+    """A one-row JSON document of a declared schema: parameters, sizes, metrics, threshold."""
+    row = tuple(fields.get(name) for name in schema.fieldNames())
+    spark.createDataFrame([row], schema).coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_preprocessing(spark, path: str, params: Preprocessing) -> None:
-    write_document(
-        spark, path, mean=list(params.mean), scale=list(params.scale), cnt_cap=float(params.count_cap)
-    )
+def write_model(nodes: DataFrame, path: str, params: Preprocessing, threshold: float | None = None, **sizes: int) -> None:
+    """A node table and the document of parameters, threshold and split sizes it goes with."""
+    nodes.write.mode("overwrite").parquet(f"{path}/nodes")
+    fields = {"mean": list(params.mean), "scale": list(params.scale), "cnt_cap": float(params.count_cap), "threshold": threshold}
+    write_document(nodes.sparkSession, f"{path}/document", MODEL_DOCUMENT, **fields, **sizes)

@@ -1,28 +1,57 @@
-"""Latest-value table as a log of small upserts.
-
-Each micro-batch writes its newest rows per key under its own batch number, so a
-repeated batch replaces itself; readers take the newest row per key over the log.
-`compact` folds the log into a new table when it has grown.
+"""Latest-value table as a log of small upserts that is folded into snapshots.
+
+Each micro-batch writes its newest rows per key below its query's id and its own
+number, so a repeated batch replaces itself and a query with a new checkpoint
+never meets another's files. `compact`, run on a schedule, writes a snapshot
+of all that is there; the log folders a snapshot covers are removed by the compaction
+after it, so that readers that listed them meanwhile still find them. Readers take the
+newest row per key over snapshots and log, which is right before, during and after a compaction.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 
 from clickwatch.operators.feature_store import latest_per_key
 from clickwatch.schemas import ONLINE_FEATURE
 
+QUERY_ID = "sql.streaming.queryId"
+
 
 def upsert(rows: DataFrame, batch_id: int, root: str) -> None:
+    query = rows.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or "batch"
     newest = latest_per_key(rows, "event_timestamp").select(*ONLINE_FEATURE.fieldNames())
-    newest.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+    newest.write.mode("overwrite").parquet(f"{root}/log/{query}/{batch_id}")
 
 
 def read_online(spark: SparkSession, root: str) -> DataFrame:
-    log = spark.read.schema(ONLINE_FEATURE).option("recursiveFileLookup", "true").parquet(root)
+    log = spark.read.schema(ONLINE_FEATURE).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(root)
     return latest_per_key(log, "event_timestamp")
 
 
-def compact(spark: SparkSession, root: str, new_root: str) -> None:
-    """Current rows as the first batch of a new log."""
-    read_online(spark, root).write.mode("errorifexists").parquet(f"{new_root}/batch=0")
+def _folders(spark: SparkSession, root: str) -> tuple[object, list[str]]:
+    """(file system, all batch and snapshot folders)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for pattern in ("log/*/*", "snapshot/*"):
+        found += [str(s.getPath()) for s in files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/{pattern}"))]
+    return files, found
+
+
+def compact(spark: SparkSession, root: str) -> None:
+    """Write a snapshot, and remove the folders that the snapshot before it covered."""
+    jvm = spark.sparkContext._jvm
+    files, covered = _folders(spark, root)
+    done = f"{root}/covered"
+    earlier = files.exists(jvm.org.apache.hadoop.fs.Path(done))
+    old = [r.value for r in spark.read.text(done).collect()] if earlier else []  # folder names of one compaction
+    snapshot = f"{root}/snapshot/{time.time_ns()}"
+    read_online(spark, root).write.parquet(snapshot)
+    for folder in set(old) & set(covered):
+        files.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
+    names = spark.createDataFrame([(f,) for f in covered if f not in old], "value STRING")
+    names.coalesce(1).write.mode("overwrite").text(done)

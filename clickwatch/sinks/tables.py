@@ -4,9 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from clickwatch.sinks.online_store import QUERY_ID
 
-def append_parquet(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
+
+def append_batch(rows: DataFrame, batch_id: int, path: str) -> None:
+    """A micro-batch below its query's id and number: repeating it replaces it, so every row is stored once."""
+    query = rows.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or "batch"
+    rows.write.mode("overwrite").parquet(f"{path}/{query}/{batch_id}")
+
+
+def read_batches(spark, path: str, schema) -> DataFrame:
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
 
 
 def append_jdbc(rows: DataFrame, url: str, table: str, partitions: int = 16, **options: str) -> None:

@@ -36,7 +36,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same table as a file stream; the pattern fits a single file and a folder of files."""
-    return use_utc(spark).readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parque[t]")
+    limited = use_utc(spark).readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", 1_000)
+    return limited.parquet(f"{sf_dir}/events.parque[t]")
 
 
 def squeezed_time() -> Column:
@@ -97,7 +98,7 @@ def to_raw(cl: DataFrame) -> DataFrame:
         _json_field("geo", F.when(fault == 4, F.lower("geo")).when(fault == 6, F.lit("USA")).otherwise(F.col("geo"))),
         _json_field("platform", faulty(7, "desktop", F.col("platform"))),
         _json_field("user_agent", faulty(8, "  ", F.col("user_agent"))),
-        _json_number("CPC", faulty(9, "-0.5", F.col("cpc").cast("string"))),
+        _json_number("CPC", F.when(fault == 13, "12345678.5").otherwise(faulty(9, "-0.5", F.col("cpc").cast("string")))),
         _json_number("CTR", faulty(10, "1.5", F.col("ctr").cast("string"))),
         _json_number("conversion", faulty(11, "2", F.col("conversion").cast("string"))),
         F.when(fault != 12, _json_number("bounce_rate", F.col("bounce_rate"))),
@@ -147,10 +148,10 @@ def to_table_rows(parsed: DataFrame) -> DataFrame:
         "geo",
         "platform",
         "user_agent",
-        F.col("CPC").cast("decimal(10,3)").alias("cpc"),
-        F.col("CTR").cast("decimal(10,4)").alias("ctr"),
-        F.col("conversion").cast("int").alias("conversion"),
-        F.col("bounce_rate").cast("decimal(10,3)").alias("bounce_rate"),
+        F.col("CPC").try_cast("decimal(10,3)").alias("cpc"),
+        F.col("CTR").try_cast("decimal(10,4)").alias("ctr"),
+        F.col("conversion").try_cast("int").alias("conversion"),
+        F.col("bounce_rate").try_cast("decimal(10,3)").alias("bounce_rate"),
     )
 
 

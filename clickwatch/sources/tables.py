@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from clickwatch.operators.dataset import Preprocessing
-from clickwatch.schemas import OFFLINE_FEATURE
+from clickwatch.schemas import FOREST_NODE, MODEL_DOCUMENT, OFFLINE_FEATURE
 
 
 def read_offline(spark: SparkSession, root: str) -> DataFrame:
@@ -28,15 +28,8 @@ def read_jdbc(
     )
 
 
-def read_preprocessing(spark: SparkSession, path: str) -> Preprocessing:
-    row = (
-        spark.read.schema("mean ARRAY<DOUBLE>, scale ARRAY<DOUBLE>, cnt_cap DOUBLE")
-        .option("multiLine", "true")
-        .json(path)
-        .first()
-    )
-    return Preprocessing(tuple(row["mean"]), tuple(row["scale"]), row["cnt_cap"])
-
-
-def read_threshold(spark: SparkSession, path: str) -> float:
-    return spark.read.schema("threshold DOUBLE").option("multiLine", "true").json(path).first()["threshold"]
+def read_model(spark: SparkSession, path: str) -> tuple[DataFrame, Preprocessing, float | None]:
+    """(node table, parameters, threshold) of a written model."""
+    row = spark.read.schema(MODEL_DOCUMENT).json(f"{path}/document").first()
+    params = Preprocessing(tuple(row["mean"]), tuple(row["scale"]), row["cnt_cap"])
+    return spark.read.schema(FOREST_NODE).parquet(f"{path}/nodes"), params, row["threshold"]

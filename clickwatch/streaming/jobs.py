@@ -47,23 +47,44 @@ def feature_stream(raw: DataFrame, delay: str = C.WATERMARK_DELAY) -> DataFrame:
 # --- events to table and lake --------------------------------------------------------
 
 
-def checked_events(raw: DataFrame, name: str = "ingest") -> tuple[DataFrame, DataFrame]:
-    """(valid table rows with observed counts, rejected rows with their failed rules)."""
-    parsed = parse_events(raw)
+def checked_events(raw: DataFrame, name: str = "ingest") -> DataFrame:
+    """Parsed events with their text and failed rules, from one parse; counts are observed as `name`."""
     checks = rules.click_event_rules()
-    observed = parsed.observe(name, *rules.quality_metrics(checks))
-    rejected = rules.keep_invalid(parse_events(raw, keep_text=True), checks)
-    return to_table_rows(rules.keep_valid(observed, checks)), rejected
+    return rules.check(parse_events(raw, keep_text=True).observe(name, *rules.quality_metrics(checks)), checks)
 
 
-def table_writer(rows: DataFrame, append: Callable[[DataFrame], None]) -> DataStreamWriter:
-    """Each micro-batch goes to `append` as one bulk insert (at least once)."""
-    stamped = rows.withColumn("created_at", F.current_timestamp())
-    return stamped.writeStream.foreachBatch(lambda batch, _: append(batch))
+def valid_rows(checked: DataFrame) -> DataFrame:
+    return to_table_rows(checked.filter(F.size("failed_rules") == 0)).drop("value")
 
 
-def lake_writer(rows: DataFrame, root: str, rows_per_file: int = C.LAKE_BATCH_ROWS) -> DataStreamWriter:
-    """Hourly JSON files, flushed by size or by trigger, exactly once."""
+def rejected_rows(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.size("failed_rules") > 0)
+
+
+def ingest_writer(
+    checked: DataFrame, append: Callable[[DataFrame, int], None], quarantine: Callable[[DataFrame, int], None]
+) -> DataStreamWriter:
+    """Each micro-batch is parsed once; its valid rows go to `append`, the others to `quarantine`.
+
+    Both get the batch number, by which a repeated batch can replace itself.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            append(valid_rows(batch).withColumn("created_at", F.current_timestamp()), batch_id)
+            quarantine(rejected_rows(batch), batch_id)
+        finally:
+            batch.unpersist()
+
+    return checked.writeStream.foreachBatch(write)
+
+
+def lake_writer(rows: DataFrame, root: str, rows_per_file: int = C.LAKE_FILE_ROWS) -> DataStreamWriter:
+    """Hourly JSON files, flushed by size or by trigger, exactly once.
+
+    Small flushes (`C.LAKE_BATCH_ROWS`) are for slow topics: they make a file per so many rows.
+    """
     return (
         lake_rows(rows)
         .writeStream.format("json")

@@ -66,10 +66,18 @@ def test_preparation_equals_numpy(features, rows):
 
 
 def test_cap_is_the_floor_for_small_counts_only(spark, features, rows):
-    assert dataset.cap_in_use(features) == pytest.approx(dataset.count_cap(features)[1])
     small = stage(features.withColumn("event_count", F.least("event_count", F.lit(1000))), "small")
-    assert dataset.cap_in_use(small) == dataset.count_cap(small)[1] == 1000.0
-    assert dataset.cap_in_use(features.limit(0)) == 1000.0
+    assert dataset.count_cap(small)[1] == 1000.0
+    assert dataset.count_cap(features.limit(0)) == (None, 1000.0)
+
+
+def test_rows_without_time_or_keys_are_in_one_split(spark, rows):
+    holes = [(r[0], None if i % 5 == 0 else r[1], None if i % 7 == 0 else r[2], r[3], *r[4:]) for i, r in enumerate(rows)]
+    df = stage(spark.createDataFrame(holes, FEATURE), "holes")
+    is_train, train, total = dataset.split_at(df)
+    sizes = dataset.split_sizes(df, is_train).first()
+    assert sizes.train_size + sizes.val_size == total == len(rows)
+    assert sizes.train_size >= train
 
 
 def test_train_and_serve_prepare_alike(features):

@@ -45,6 +45,19 @@ def test_strata_get_equal_shares(spark):
     assert {r["geo"]: r["count"] for r in picks} == {"US": 10, "DE": 10, "JP": 10}
 
 
+@pytest.mark.parametrize("stratified", [False, True])
+def test_repeated_rows_stay_as_many(spark, stratified):
+    rows, n = _table(spark, {"US": 3, "DE": 3})
+    again = stage(rows.unionByName(rows), "repeated")
+    assert evaluation.inject(again, 1000.0, 0.3, stratified=stratified).count() == 2 * n
+
+
+def test_stratified_picks_do_not_move_the_table(spark):
+    rows, _ = _table(spark, {"US": 500, "DE": 100})
+    plan = evaluation.pick_stratified(rows, 0.1)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+
+
 def test_changes_stay_in_their_ranges(spark):
     rows, _ = _table(spark, {"US": 3000})
     injected = evaluation.inject(rows, 1000.0, rate=0.5).filter("label = 1")
@@ -75,33 +88,30 @@ def labelled(spark):
     return data, spark.createDataFrame(data, "anomaly_score DOUBLE, label INT")
 
 
-@pytest.mark.parametrize("bucket", [5, 1_000_000])
-def test_auc_counts_pairs(spark, labelled, bucket):
+def test_auc_counts_pairs(spark, labelled):
     data, df = labelled
     pos = [s for s, y in data if y]
     neg = [s for s, y in data if not y]
     want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / len(pos) / len(neg)
     counts = evaluation.threshold_counts(df)
-    assert evaluation.roc_auc(counts, bucket).first()[0] == pytest.approx(want)
+    assert evaluation.roc_auc(counts).first()[0] == pytest.approx(want)
 
 
-@pytest.mark.parametrize("bucket", [5, 1_000_000])
-def test_roc_points(spark, labelled, bucket):
+def test_roc_points(spark, labelled):
     data, df = labelled
     p, n = sum(y for _, y in data), sum(1 - y for _, y in data)
-    got = evaluation.roc_curve(evaluation.threshold_counts(df), bucket).collect()
+    got = evaluation.roc_curve(evaluation.threshold_counts(df)).collect()
     want = {(None, 0.0, 0.0)} | {
         (t, sum(1 - y for s, y in data if s >= t) / n, sum(y for s, y in data if s >= t) / p) for t in {s for s, _ in data}
     }
     assert {(r.threshold, r.fpr, r.tpr) for r in got} == want
 
 
-@pytest.mark.parametrize("bucket", [5, 1_000_000])
-def test_dropped_points_lie_on_the_line(spark, labelled, bucket):
+def test_dropped_points_lie_on_the_line(spark, labelled):
     _, df = labelled
     counts = evaluation.threshold_counts(df)
-    full = sorted((r.fpr, r.tpr) for r in evaluation.roc_curve(counts, bucket).collect())
-    kept = sorted((r.fpr, r.tpr) for r in evaluation.roc_curve(counts, bucket, drop_intermediate=True).collect())
+    full = sorted((r.fpr, r.tpr) for r in evaluation.roc_curve(counts).collect())
+    kept = sorted((r.fpr, r.tpr) for r in evaluation.roc_curve(counts, drop_intermediate=True).collect())
     assert set(kept) < set(full) and kept[0] == full[0] and kept[-1] == full[-1]
     for x, y in set(full) - set(kept):
         left = max(p for p in kept if p <= (x, y))

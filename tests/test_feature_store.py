@@ -101,6 +101,26 @@ def test_online_log_is_idempotent_and_compacts(spark, tmp_path):
     online_store.upsert(older, 1, root)  # the batch again after a failure
     want = {("US", 9), ("DE", 1)}
     assert {(r.geo, r.event_count) for r in online_store.read_online(spark, root).collect()} == want
-    online_store.compact(spark, root, str(tmp_path / "compacted"))
-    compacted = online_store.read_online(spark, str(tmp_path / "compacted"))
-    assert {(r.geo, r.event_count) for r in compacted.collect()} == want
+    for _ in range(3):
+        online_store.compact(spark, root)
+        assert {(r.geo, r.event_count) for r in online_store.read_online(spark, root).collect()} == want
+    _, folders = online_store._folders(spark, root)
+    assert len(folders) == 2  # the last snapshot and the one it covers
+
+
+def test_asof_takes_off_grid_and_repeated_features(spark):
+    def row(minute, second, count):
+        end = BASE + dt.timedelta(minutes=minute, seconds=second)
+        return (end - dt.timedelta(minutes=5), end, "US", "web", 0.01, 0.5, count)
+
+    rows = [row(5, 20, 1), row(5, 20, 1), row(5, 40, 2), row(5, 40, 7), row(2000, 30, 3)]
+    seconds = {0: None, 310: None, 330: 1, 345: 7, 370: 7, 60 * 2000 + 29: 7, 60 * 2000 + 30: 3, 60 * 9000: None}
+    events = [(i, BASE + dt.timedelta(seconds=s), "US", "web") for i, s in enumerate(seconds)] + [(99, None, "US", "web"), (98, BASE, None, "web")]
+    df = spark.createDataFrame(events, "id INT, ts TIMESTAMP, geo STRING, platform STRING")
+    got = {r.id: r.event_count for r in feature_store.asof_features(df, spark.createDataFrame(rows, FEATURE)).collect()}
+    assert got == {**dict(enumerate(seconds.values())), 99: None, 98: None}
+
+
+def test_latest_values_need_no_sort(spark):
+    plan = feature_store.latest_online(_features(spark, [("US", "web", 1)]))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan

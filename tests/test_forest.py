@@ -100,8 +100,12 @@ def test_nothing_to_fit(train):
         forest.fit_forest(train.limit(0))
 
 
-def test_large_table_is_pooled(train, monkeypatch):
-    """With a small pool each tree still gets its full sample, drawn from a hashed part of the rows."""
-    monkeypatch.setattr(forest, "POOL_FACTOR", 1)
-    nodes = forest.fit_forest(train, trees=2, max_samples=100).toPandas()
-    assert set(nodes.loc[nodes["node_id"] == 0, "size"]) == {100}
+def test_draws_are_rows_of_the_whole_table(train):
+    """Every tree has different rows, and all trees together reach most of the table."""
+    drawn, size = forest._drawn_rows(train, trees=40, max_samples=100, seed=3)
+    rows = drawn.select("tree_id", "window_end", "geo", "platform").toPandas()
+    n = train.count()
+    assert size == min(100, n) and len(rows) == 40 * size
+    assert rows.groupby("tree_id").apply(lambda t: len(t.drop_duplicates())).eq(size).all()
+    reached = len(rows.drop(columns="tree_id").drop_duplicates())
+    assert reached > 0.9 * n * (1 - (1 - size / n) ** 40)

@@ -5,9 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clickwatch.operators import ordering
-from clickwatch.operators.ordering import exact_quantile, kth_key, running_totals, smallest_per_group, up_to_key
-from clickwatch.session import broadcast_if_small, stage
+from clickwatch.operators.ordering import exact_quantile, group_cutoffs, kth_key, running_totals, up_to_key
 
 
 @pytest.fixture(scope="module")
@@ -18,8 +16,7 @@ def rows():
 
 
 @pytest.mark.parametrize("k", [1, 2, 599, 1199, 1200])
-def test_kth_key(spark, rows, k, monkeypatch):
-    monkeypatch.setattr(ordering, "_SORTABLE_ROWS", 0)  # take every level
+def test_kth_key(spark, rows, k):
     df = spark.createDataFrame(rows, "g STRING, v INT, id INT")
     levels = [F.floor(F.col("v") / 100), F.col("v")]
     cutoff = kth_key(df, k, levels, ["v", "id"])
@@ -28,6 +25,17 @@ def test_kth_key(spark, rows, k, monkeypatch):
     assert df.filter(up_to_key(cutoff)).count() == k
 
 
+@pytest.mark.parametrize("k", [1, 3, 5, 6, 7])
+def test_nulls_come_last(spark, k):
+    data = [(1, "b"), (1, None), (None, "a"), (None, None), (2, "a"), (2, "a"), (0, "z")]
+    df = spark.createDataFrame(data, "v INT, s STRING")
+    cutoff = kth_key(df, k, [F.col("v")], ["v", "s"])
+    ordered = sorted(data, key=lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or ""))
+    assert tuple(cutoff) == ordered[k - 1]
+    assert df.filter(up_to_key(cutoff)).count() == max(i + 1 for i, r in enumerate(ordered) if r == ordered[k - 1])
+    assert df.filter(~up_to_key(cutoff)).count() + df.filter(up_to_key(cutoff)).count() == len(data)
+
+
 def test_kth_key_beyond_the_table(spark, rows):
     df = spark.createDataFrame(rows, "g STRING, v INT, id INT")
     with pytest.raises(ValueError):
@@ -35,40 +43,48 @@ def test_kth_key_beyond_the_table(spark, rows):
 
 
 @pytest.mark.parametrize("k", [1, 7, 150, 5000])
-def test_smallest_per_group(spark, rows, k):
-    df = spark.createDataFrame(rows, "g STRING, v INT, id INT")
-    got = smallest_per_group(df, k, ["g"], F.floor(F.col("v") / 50), ["v", "id"]).collect()
-    want = [r for g in "abc" for r in sorted((r for r in rows if r[0] == g), key=lambda r: (r[1], r[2]))[:k]]
-    assert sorted(map(tuple, got)) == sorted(want)
+def test_group_cutoffs(spark, rows, k):
+    df = spark.createDataFrame([*rows, (None, 3, -1)], "g STRING, v INT, id INT")
+    found = group_cutoffs(df, k, ["g"], [F.floor(F.col("v") / 50)], ["v", "id"]).collect()
+    assert len(found) == 4
+    for r in found:
+        own = sorted((v, i) for g, v, i in [*rows, (None, 3, -1)] if g == r.g)
+        assert tuple(r["_cutoff"]) == own[min(k, len(own)) - 1]
 
 
 @pytest.mark.parametrize("descending", [False, True])
-def test_running_totals_over_many_ranges(spark, descending):
+@pytest.mark.parametrize("ranges", [1, 2, 9])
+def test_running_totals_are_the_same_over_any_ranges(spark, descending, ranges):
     rng = random.Random(9)
-    values = sorted({round(rng.expovariate(1), 6) for _ in range(700)}, reverse=descending)
-    data = [(v, rng.randrange(5), rng.randrange(3)) for v in values]
-    counts = stage(spark.createDataFrame(data, "value DOUBLE, pos BIGINT, neg BIGINT").repartition(5), "t")
-    got = running_totals(counts, "value", ["pos", "neg"], descending, rows_per_bucket=60).collect()
-    pos = np.cumsum([p for _, p, _ in data])
-    neg = np.cumsum([n for _, _, n in data])
-    assert {r.value: (r.cum_pos, r.cum_neg) for r in got} == {v: (p, n) for (v, _, _), p, n in zip(data, pos, neg)}
+    values = sorted({rng.randrange(10**6) for _ in range(700)}, reverse=descending)
+    data = [(v, rng.randrange(5), rng.randrange(3)) for v in values] + [(None, 2, 1)]
+    counts = spark.createDataFrame(data, "value BIGINT, pos BIGINT, neg BIGINT").repartition(5)
+    got = running_totals(counts, "value", ["pos", "neg"], descending, with_next=True, ranges=ranges)
+    assert dict(got.dtypes)["value"] == "bigint"
+    pos, neg = np.cumsum([p for _, p, _ in data]), np.cumsum([n for _, _, n in data])
+    following = [p for _, p, _ in data[1:]] + [None]
+    assert {r.value: (r.cum_pos, r.cum_neg, r.next_pos) for r in got.collect()} == {
+        v: (p, n, q) for (v, _, _), p, n, q in zip(data, pos, neg, following)
+    }
+
+
+@pytest.mark.parametrize("ranges", [1, 4])
+def test_running_totals_put_nan_above_numbers(spark, ranges):
+    counts = spark.createDataFrame([(1.0, 1), (math.nan, 2), (math.inf, 4), (None, 8), (-1.0, 16)], "value DOUBLE, n BIGINT")
+    got = running_totals(counts, "value", ["n"], ranges=ranges).collect()
+    assert {str(r.value): r.cum_n for r in got} == {"-1.0": 16, "1.0": 17, "inf": 21, "nan": 23, "None": 31}
 
 
 @pytest.mark.parametrize("p", [0.0, 0.02, 0.5, 0.98, 0.999, 1.0])
-@pytest.mark.parametrize("bucket", [40, 1_000_000])
-def test_exact_quantile(spark, p, bucket):
+def test_exact_quantile(spark, p):
     rng = random.Random(3)
-    values = [rng.gauss(0, 1) for _ in range(500)] + [0.25] * 300
-    df = spark.createDataFrame([(v,) for v in values], "x DOUBLE")
-    assert exact_quantile(df, "x", p, rows_per_bucket=bucket) == pytest.approx(float(np.quantile(values, p)), abs=1e-12)
+    values = [rng.gauss(0, 1) for _ in range(500)] + [0.25] * 300 + [1e300, -1e300]
+    df = spark.createDataFrame([(v,) for v in [*values, None, math.nan]], "x DOUBLE")
+    assert exact_quantile(df, "x", p) == pytest.approx(float(np.quantile(values, p)), rel=1e-12, abs=1e-12)
 
 
-def test_exact_quantile_of_nothing(spark):
+def test_exact_quantile_of_nothing_and_infinity(spark):
+    assert exact_quantile(spark.createDataFrame([(None,), (math.nan,)], "x DOUBLE"), "x", 0.5) is None
     assert exact_quantile(spark.createDataFrame([], "x DOUBLE"), "x", 0.5) is None
-
-
-def test_broadcast_only_when_counted_small(spark):
-    small = stage(spark.range(10), "small")
-    hinted = broadcast_if_small(small, 10)._jdf.queryExecution().logical().toString()
-    plain = broadcast_if_small(small, 9)._jdf.queryExecution().logical().toString()
-    assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
+    df = spark.createDataFrame([(-math.inf,), (1.0,), (2.0,), (math.inf,)], "x DOUBLE")
+    assert exact_quantile(df, "x", 1 / 3) == 1.0 and exact_quantile(df, "x", 1.0) == math.inf

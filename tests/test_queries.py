@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from compare import difference, duck
 
 from __spark_entry__ import entry, oracle_sql, queries
+from clickwatch.plans.catalog import QUERIES
+from clickwatch.plans.oracle import ORACLE
 
-NO_SQL = {"forest_nodes", "anomaly_scores", "forest_evaluation"}
+NO_SQL = {"forest_nodes", "anomaly_scores", "forest_evaluation", "fitted_alerts"}
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +17,7 @@ def con(sf_dir):
     return duck(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, sf_dir, con, name):
     assert difference(queries()[name](spark, sf_dir), con, oracle_sql()[name]) is None
 
@@ -31,8 +33,9 @@ def test_tables_of_many_files_with_a_busy_key(spark, sf_dir, tmp_path, name):
 
 
 def test_only_fitted_forest_queries_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == NO_SQL
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLE) == NO_SQL
+    assert set(ORACLE) <= set(QUERIES) <= set(queries())
+    assert set(ORACLE) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
@@ -41,6 +44,12 @@ def test_entry(spark):
     assert df.columns[:4] == ["window_start", "window_end", "geo", "platform"]
 
 
+def test_stored_model_flags_about_its_share(spark, sf_dir):
+    found = queries()["fitted_alerts"](spark, sf_dir).collect()
+    assert found and all(r.anomaly_score >= r.threshold for r in found)
+    assert len(found) < 0.1 * queries()["sliding_features"](spark, sf_dir).count()
+
+
 def test_forest_evaluation_is_consistent(spark, sf_dir):
     rows = queries()["forest_evaluation"](spark, sf_dir).collect()
     assert [r.rule for r in rows] == ["quantile", "contamination"]

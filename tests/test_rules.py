@@ -10,25 +10,25 @@ from clickwatch.sources.clickstream import parse_events, to_table_rows, window_i
 
 EVENT = {
     "timestamp": "2024-01-15T10:30:00.000Z",
-    "user_id_hash": "a1b2c3d4e5f67890",
-    "ad_id": "ad_1234",
-    "campaign_id": "camp_567",
+    "user_id_hash": "0f1e2d3c4b5a6978",
+    "ad_id": "ad_77",
+    "campaign_id": "camp_31",
     "geo": "US",
     "platform": "web",
-    "user_agent": "Mozilla/5.0 (X11)",
-    "CPC": 0.75,
-    "CTR": 0.025,
+    "user_agent": "reader/2 (desk)",
+    "CPC": 0.31,
+    "CTR": 0.013,
     "conversion": 0,
-    "bounce_rate": 0.45,
+    "bounce_rate": 0.62,
 }
 FEATURE = {
     "window_start": "2024-01-15T10:30:00Z",
     "window_end": "2024-01-15T10:35:00Z",
     "geo": "US",
     "platform": "web",
-    "ctr_avg": 0.025,
-    "bounce_rate_avg": 0.45,
-    "event_count": 150,
+    "ctr_avg": 0.013,
+    "bounce_rate_avg": 0.62,
+    "event_count": 42,
 }
 
 # fault -> (changed field, its value, expected failed rules)
@@ -47,16 +47,19 @@ EVENT_FAULTS = {
     "CTR boolean": ({"CTR": True}, ["CTR"]),
     "CTR at bounds": ({"CTR": 1, "bounce_rate": 0}, []),
     "CPC negative": ({"CPC": -0.5}, ["CPC"]),
+    "CPC beyond the table": ({"CPC": 12345678.5}, ["CPC_range"]),
+    "CPC at the table's end": ({"CPC": 9999999.999}, []),
     "conversion": ({"conversion": 2}, ["conversion"]),
     "conversion as 1.0": ({"conversion": 1.0}, []),
-    "ad id": ({"ad_id": "advertisement_1234"}, ["ad_id"]),
+    "ad id": ({"ad_id": "adv_77"}, ["ad_id"]),
     "other digits": ({"ad_id": "ad_١٢"}, []),
-    "campaign id": ({"campaign_id": "campaign_567"}, ["campaign_id"]),
+    "campaign id": ({"campaign_id": "campaign-31"}, ["campaign_id"]),
     "hash": ({"user_id_hash": "invalid_hash"}, ["user_id_hash"]),
-    "short hash": ({"user_id_hash": "a1b2c3d4e5f6789"}, ["user_id_hash"]),
+    "short hash": ({"user_id_hash": "0f1e2d3c4b5a697"}, ["user_id_hash"]),
     "long hash": ({"user_id_hash": "a" * 65}, ["user_id_hash"]),
     "agent empty": ({"user_agent": ""}, ["user_agent"]),
     "agent blank": ({"user_agent": " \t "}, ["user_agent"]),
+    "agent of no-break spaces": ({"user_agent": "\u00a0\u2003"}, ["user_agent"]),
     "platform": ({"platform": "desktop"}, ["platform"]),
     "missing": ({"bounce_rate": None}, ["bounce_rate"]),
     "unknown field": ({"extra": {"a": 1}}, []),
@@ -84,7 +87,7 @@ def test_unreadable_text_fails_every_rule_and_nothing_else_breaks(spark, text):
     parsed = parse_events(_texts(spark, {"bad": text, "good": json.dumps(EVENT)}), keep_text=True)
     rejected = rules.keep_invalid(parsed, rules.click_event_rules()).collect()
     assert [(r["name"], r["value"]) for r in rejected] == [("bad", text)]
-    assert len(rejected[0]["failed_rules"]) == 11
+    assert len(rejected[0]["failed_rules"]) == 12
 
 
 def test_quality_counts(spark):

@@ -9,7 +9,8 @@ from clickwatch.operators import forest
 from clickwatch.operators.windows import as_messages, sliding_features
 from clickwatch.plans.fixed_forest import node_rows
 from clickwatch.sinks import online_store
-from clickwatch.sinks.tables import append_parquet
+from clickwatch.schemas import CLICKSTREAM_TABLE
+from clickwatch.sinks.tables import append_batch, read_batches
 from clickwatch.sinks.topics import as_json, file_topic_writer
 from clickwatch.sources.clickstream import window_input
 from clickwatch.streaming import jobs
@@ -20,8 +21,8 @@ BATCHES = [["10:30:10"], ["10:36:29"], ["10:32:00", "10:31:00"], ["10:50:00"], [
 
 def _event(time, ctr, **change):
     event = {
-        "timestamp": f"2024-01-15T{time}Z", "user_id_hash": "a1b2c3d4e5f67890", "ad_id": "ad_1", "campaign_id": "camp_1",
-        "geo": "US", "platform": "web", "user_agent": "x", "CPC": 0.75, "CTR": ctr, "conversion": 0, "bounce_rate": 0.45,
+        "timestamp": f"2024-01-15T{time}Z", "user_id_hash": "0f1e2d3c4b5a6978", "ad_id": "ad_1", "campaign_id": "camp_1",
+        "geo": "US", "platform": "web", "user_agent": "x", "CPC": 0.31, "CTR": ctr, "conversion": 0, "bounce_rate": 0.62,
     }
     return json.dumps({**event, **change})
 
@@ -89,23 +90,33 @@ def test_ingest_table_counts_and_quarantine(spark, topic, tmp_path):
     _put(topic, 0, [_event("10:30:00", 0.1), "broken", _event("10:31:00", 7)])
     _put(topic, 1, [_event("10:32:00", 0.2), _event("10:33:00", 0.2, geo="us")])
     table, bad = str(tmp_path / "table"), str(tmp_path / "bad")
-    rows, rejected = jobs.checked_events(file_stream(spark, topic))
-    query = _go(jobs.table_writer(rows, lambda batch: append_parquet(batch, table)), tmp_path)
+    writer = lambda: jobs.ingest_writer(
+        jobs.checked_events(file_stream(spark, topic, 1)),
+        lambda rows, n: append_batch(rows, n, table), lambda rows, n: append_batch(rows, n, bad),
+    )
+    query = _go(writer(), tmp_path)
     seen = [p["observedMetrics"]["ingest"] for p in map(lambda p: json.loads(p.json), query.recentProgress) if p.get("observedMetrics")]
     assert sum(m["processed"] for m in seen) == 5 and sum(m["valid"] for m in seen) == 2
-    stored = spark.read.parquet(table)
+    stored = spark.read.option("recursiveFileLookup", "true").parquet(table)
     assert stored.count() == 2 and "created_at" in stored.columns
-    _go(rejected.writeStream.format("json").option("path", bad), tmp_path, "other-checkpoint")
-    quarantined = spark.read.json(bad).select("value", "failed_rules").collect()
+    quarantined = read_batches(spark, bad, "value STRING, failed_rules ARRAY<STRING>").collect()
     assert {tuple(r.failed_rules)[0] for r in quarantined if r.value != "broken"} == {"CTR", "geo"}
     assert len(quarantined) == 3
+    # a query with another checkpoint starts at batch 0 again and replaces nothing
+    _go(writer(), tmp_path, "another")
+    assert read_batches(spark, table, CLICKSTREAM_TABLE).count() == 4
+    # a batch that is written again replaces itself
+    rows = jobs.valid_rows(jobs.checked_events(spark.read.text(topic)))
+    for _ in range(2):
+        append_batch(rows, 3, str(tmp_path / "once"))
+    assert read_batches(spark, str(tmp_path / "once"), CLICKSTREAM_TABLE).count() == 2
 
 
 def test_lake_files_by_hour_and_size(spark, topic, tmp_path):
     _put(topic, 0, [_event(f"10:{i % 60:02d}:00", 0.1) for i in range(250)] + [_event("11:00:00", 0.1)])
     lake = str(tmp_path / "lake")
-    rows, _ = jobs.checked_events(file_stream(spark, topic))
-    _go(jobs.lake_writer(rows, lake), tmp_path)
+    rows = jobs.valid_rows(jobs.checked_events(file_stream(spark, topic)))
+    _go(jobs.lake_writer(rows, lake, rows_per_file=100), tmp_path)
     stored = spark.read.json(lake)
     assert {(r["y"], r["m"], r["d"], r["h"]): r["count"] for r in stored.groupBy("y", "m", "d", "h").count().collect()} == {
         (2024, 1, 15, 10): 250, (2024, 1, 15, 11): 1,
@@ -117,7 +128,7 @@ def test_lake_files_by_hour_and_size(spark, topic, tmp_path):
 def _feature(end, count, **change):
     message = {
         "window_start": f"2024-01-15T10:{end - 5:02d}:00Z", "window_end": f"2024-01-15T10:{end:02d}:00Z", "geo": "US",
-        "platform": "web", "ctr_avg": 0.025, "bounce_rate_avg": 0.45, "event_count": count,
+        "platform": "web", "ctr_avg": 0.013, "bounce_rate_avg": 0.62, "event_count": count,
     }
     return json.dumps({**message, **change})
 
