@@ -155,6 +155,8 @@ def fit(
     sample = labelled_sample(docs, labels, how, doc_id, text, label).withColumn("place", F.xxhash64("doc_id"))
     features = stage(sample.mapInPandas(featurise, "place long, label int, found binary"), "toxic-features")
     row = features.repartition(1).mapInPandas(train, "bias double, index binary, weight binary").first()
+    if row is None:  # a plan known to be empty runs no task
+        return fit_ftrl([], how)
     return Model(row.bias, np.frombuffer(row["index"], np.int32), np.frombuffer(row.weight, np.float32))
 
 
