@@ -52,7 +52,7 @@ def click_event_rules() -> dict[str, Column]:
         "conversion": c("conversion").isin(0.0, 1.0),
         "bounce_rate": c("bounce_rate").between(0, 1),
         # what the event table's DECIMAL(10,3) cannot hold is rejected by name, not by a failed cast
-        "CPC_range": c("CPC") < C.CPC_LIMIT,
+        "CPC_range": c("CPC").isNull() | (c("CPC") < C.CPC_LIMIT),
     }
 
 

@@ -90,7 +90,7 @@ EVENT_RULES = {
     "CTR": "CTR BETWEEN 0 AND 1",
     "conversion": "conversion IN (0, 1)",
     "bounce_rate": "bounce_rate BETWEEN 0 AND 1",
-    "CPC_range": "CPC < 9999999.9995",
+    "CPC_range": "(CPC IS NULL OR CPC < 9999999.9995)",
 }
 UPPER_GEO = "length(geo) = 2 AND upper(geo) = geo AND lower(geo) <> geo"
 
@@ -405,8 +405,8 @@ FROM (SELECT event_id, p.geo, p.platform, o.* EXCLUDE (geo, platform), event_tim
     "prepared_features": sql("prepared", f"SELECT {END_KEYS}, {MODEL_ROUNDED} FROM prepared"),
     "time_split": sql("bounded", f"SELECT {END_KEYS}, CASE WHEN is_train THEN 'train' ELSE 'val' END AS split FROM bounded"),
     "time_split_null_keys": sql("features", f"""
-SELECT {iso("window_end")} AS window_end, geo, platform, CASE WHEN at <= floor(0.8::double * total) THEN 'train' ELSE 'val' END AS split, count(*) AS rows
-FROM (SELECT *, row_number() OVER (ORDER BY window_end NULLS LAST, geo NULLS LAST, platform NULLS LAST) AS at, count(*) OVER () AS total
+SELECT {iso("window_end")} AS window_end, geo, platform, CASE WHEN pos <= floor(0.8::double * total) THEN 'train' ELSE 'val' END AS split, count(*) AS rows
+FROM (SELECT *, rank() OVER (ORDER BY window_end NULLS LAST, geo NULLS LAST, platform NULLS LAST) AS pos, count(*) OVER () AS total
   FROM (SELECT CASE WHEN fault <> 1 THEN window_end END AS window_end, CASE WHEN fault <> 2 THEN geo END AS geo, CASE WHEN fault <> 3 THEN platform END AS platform
         FROM (SELECT *, (event_count + epoch(window_end)::bigint) % 7 AS fault FROM features)))
 GROUP BY ALL"""),
