@@ -248,6 +248,11 @@ def _hashes(key: Column) -> tuple[Column, Column]:
     return F.xxhash64(text, null), F.xxhash64(null, F.lit("second"), text)
 
 
+def _bucket(buckets: int) -> Column:
+    """By a third hash: what falls in a bucket must still be spread evenly by the other two."""
+    return F.pmod(F.xxhash64("h1", "h2"), F.lit(buckets)).cast("int")
+
+
 def _unsigned(values: pd.Series) -> np.ndarray:
     return values.to_numpy(np.int64).view(np.uint64)
 
@@ -300,7 +305,7 @@ def write_store(docs: DataFrame, layout: Layout, key: str = "doc_id", text: str
     buckets = max(1, -(-int(first_rows[-1]) // layout.keys_per_bucket))
     h1, h2 = _hashes(F.col("key"))
     hashed = runs.select(h1.alias("h1"), h2.alias("h2"), "first", "rows")
-    hashed = hashed.withColumn("bucket", F.pmod(F.shiftrightunsigned("h1", 3), F.lit(buckets)).cast("int"))
+    hashed = hashed.withColumn("bucket", _bucket(buckets))
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         bucket, name = int(frame["bucket"].iloc[0]), f"{frame['bucket'].iloc[0]:06d}-{uuid.uuid4().hex}.mph"
@@ -358,7 +363,7 @@ def read_documents(keys: DataFrame, store: Store, key: str = "doc_id") -> DataFr
 
     h1, h2 = _hashes(F.col("key"))
     asked = keys.select(F.col(key).alias("key")).distinct().select("key", h1.alias("h1"), h2.alias("h2"))
-    asked = asked.withColumn("bucket", F.pmod(F.shiftrightunsigned("h1", 3), F.lit(store.buckets)).cast("int"))
+    asked = asked.withColumn("bucket", _bucket(store.buckets))
     found = asked.groupBy("bucket").applyInPandas(search, f"key {kind}, shard int, row long, rows long")
     schema = f"key {kind}, start long, n_tokens long, ids binary"
     return found.groupBy("shard").applyInPandas(read, schema).withColumnRenamed("key", key)
