@@ -21,7 +21,7 @@ collected. Files are written with pyarrow's file systems, so the shared folder m
 one they reach (local mount, HDFS, S3, GCS).
 
 Texts are cut at ASCII white space, which the tokenizer drops, and every different
-piece is encoded by the tokenizers library once per worker and kept in a bounded memo.
+piece is encoded by the tokenizers library and kept in a bounded memo of the worker.
 A vocabulary that does not treat white space so needs `cut=False`.
 
 Defined cases: a null text is empty and has the end id alone; a null key is a key,
@@ -30,6 +30,7 @@ first in order; rows repeating a key are ordered by their text; an empty table g
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import uuid
@@ -51,7 +52,8 @@ from clickwatch.session import new_path, stage
 
 #: a letters-only piece and the punctuation behind it are encoded apart
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?|]+)")
-_MEMO_PIECES = 400_000
+#: pieces remembered by a worker, and words whose pieces are looked up together
+_HOT_PIECES, _COLD_PIECES, _GROUP_WORDS = 600_000, 300_000, 200_000
 _MAGIC, _HEADER = b"MPHI", "<4sIQ"  # magic, displacements, keys
 _SLOT = np.dtype([("fingerprint", "<u4"), ("rows", "<u4"), ("first", "<u8")])
 _TRIES = 1 << 20
@@ -83,6 +85,7 @@ class Store:
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the threads
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
@@ -93,42 +96,76 @@ def id_width(path: str) -> int:
     return 2 if _tokenizer(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
 
-class _Pieces(dict):
-    """Piece (UTF-8) to the bytes of its ids; emptied when full."""
+class _Encoder:
+    """Encodes texts piece by piece, every different piece once while it is remembered.
+
+    A piece met again moves from `cold` to `hot`; most pieces are met once, so `cold` is emptied
+    whenever it is full and `hot` hardly ever. Unknown pieces are encoded in batches.
+    """
 
     def __init__(self, path: str) -> None:
         self.tokenizer, self.code = _tokenizer(path), "H" if id_width(path) == 2 else "I"
-
-    def encode(self, text: str) -> bytes:
-        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def __missing__(self, piece: bytes) -> bytes:
-        text = piece.decode("utf-8", "replace")
-        parts = _PLAIN.fullmatch(text)
-        if parts:
-            value = self[parts[1].encode()] + self[parts[2].encode()]
-        elif text.isascii() and text.isalpha() and not text.islower():
-            value = self[piece.lower()]
-        else:
-            value = self.encode(text)
-        if len(self) >= _MEMO_PIECES:
-            self.clear()
-        self[piece] = value
-        return value
+        self.hot: dict[bytes, bytes] = {}
+        self.cold: dict[bytes, bytes] = {}
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array(self.code, e.ids).tobytes() for e in found]
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return self._encode(texts)
+
+    def cut(self, texts: list[str]) -> Iterator[bytes]:
+        group, words = [], 0
+        for text in texts:
+            raw = text.encode("utf-8", "replace")
+            # the tokenizer lowers letters too, but finds special tokens before
+            group.append((raw if b"<|" in raw else raw.lower()).split())
+            words += len(group[-1])
+            if words >= _GROUP_WORDS:
+                yield from self._joined(group)
+                group, words = [], 0
+        yield from self._joined(group)
+
+    def _joined(self, group: list[list[bytes]]) -> list[bytes]:
+        hot, cold = self.hot, self.cold
+        distinct = set().union(*group)
+        table = {p: hot[p] for p in distinct & hot.keys()}  # of this group only: small enough to stay in the cache
+        parts, unknown = {}, set()
+        for piece in distinct - table.keys():
+            if piece in cold:
+                hot[piece] = table[piece] = cold.pop(piece)
+                continue
+            plain = _PLAIN.fullmatch(piece.decode("utf-8", "replace"))
+            if plain:
+                parts[piece] = plain[1].encode(), plain[2].encode()
+                unknown.update(parts[piece])
+            else:
+                unknown.add(piece)
+        asked = [p for p in unknown if p not in hot and p not in cold]
+        fresh = dict(zip(asked, self._encode([p.decode("utf-8", "replace") for p in asked])))
+        for piece, halves in parts.items():
+            fresh[piece] = b"".join(next(m[h] for m in (fresh, hot, cold) if h in m) for h in halves)
+        table.update(fresh)
+        cold.update(fresh)
+        if len(cold) > _COLD_PIECES:
+            cold.clear()
+        if len(hot) > _HOT_PIECES:
+            hot.clear()
+        return [b"".join(map(table.__getitem__, pieces)) for pieces in group]
 
 
 @lru_cache(maxsize=2)
-def _pieces(path: str) -> _Pieces:
-    return _Pieces(path)
+def _encoder(path: str) -> _Encoder:
+    return _Encoder(path)
 
 
-def encoded(text: str | None, layout: Layout) -> bytes:
-    """The ids of a text and the end id, in the store's width."""
-    pieces = _pieces(layout.tokenizer)
-    end = array(pieces.code, [layout.end_id]).tobytes()
-    if not layout.cut:
-        return pieces.encode(text or "") + end
-    return b"".join(map(pieces.__getitem__, (text or "").encode("utf-8", "replace").split())) + end
+def encoded(texts: list[str | None], layout: Layout) -> Iterator[bytes]:
+    """The ids of every text and the end id, in the store's width."""
+    encoder = _encoder(layout.tokenizer)
+    end = array(encoder.code, [layout.end_id]).tobytes()
+    texts = [t or "" for t in texts]
+    return (ids + end for ids in (encoder.cut(texts) if layout.cut else encoder.whole(texts)))
 
 
 # ---- files
@@ -273,7 +310,7 @@ def write_store(docs: DataFrame, layout: Layout, key: str = "doc_id", text: str
         key_type = None
         for batch in batches:
             key_type = batch.schema.types[0]
-            places = list(zip(*[shards.add(encoded(t.as_py(), layout)) for t in batch.column(1)])) or [[], [], []]
+            places = list(zip(*[shards.add(ids) for ids in encoded(batch.column(1).to_pylist(), layout)])) or [[], [], []]
             none = [None] * batch.num_rows
             columns = [*places, none, none, none]
             arrays = [batch.column(0), *[pa.array(c, t) for c, t in zip(columns, types[1:])]]
