@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from clickwatch.plans.catalog import QUERIES  # noqa: E402
-from clickwatch.session import build_session  # noqa: E402
+from clickwatch.session import build_session, drop_staged  # noqa: E402
 
 HEADLINE = (
     "sliding_features", "tumbling_features", "valid_events", "rule_failure_counts", "ingest_quality",
@@ -45,6 +45,7 @@ def main() -> None:
             start = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)
+            drop_staged(spark)
         times[name] = round(min(runs), 3)
     result = {
         "metric": "total_query_seconds",

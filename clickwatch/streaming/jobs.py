@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from clickwatch import constants as C
 from clickwatch.functions import rules
@@ -127,14 +127,50 @@ def alert_stream(raw: DataFrame, scorer: Scorer, threshold: float, params: Prepr
 # --- lag ------------------------------------------------------------------------------------
 
 
+def offset_rows(sources: list[dict]) -> list[tuple[str, int, int, int]]:
+    """(topic, partition, high water, processed) of the Kafka sources in a progress report."""
+
+    def by_partition(offsets: str | dict | None) -> dict[tuple[str, int], int]:
+        offsets = json.loads(offsets) if isinstance(offsets, str) else offsets or {}
+        topics = offsets.items() if isinstance(offsets, dict) else ()
+        return {(t, int(p)): int(o) for t, parts in topics if isinstance(parts, dict) for p, o in parts.items()}
+
+    rows = []
+    for source in sources:
+        latest, done = by_partition(source.get("latestOffset")), by_partition(source.get("endOffset"))
+        rows += [(*at, latest[at], done[at]) for at in sorted(latest.keys() & done.keys())]
+    return rows
+
+
 def progress_offsets(spark: SparkSession, query: StreamingQuery) -> tuple[DataFrame, DataFrame]:
     """(high water, processed) per topic partition from a Kafka query's last progress."""
-    latest, done = [], []
-    for source in (query.lastProgress or {}).get("sources", []):
-        for target, key in ((latest, "latestOffset"), (done, "endOffset")):
-            offsets = source.get(key) or {}
-            offsets = json.loads(offsets) if isinstance(offsets, str) else offsets
-            if isinstance(offsets, dict):
-                target += [(t, int(p), int(o)) for t, parts in offsets.items() if isinstance(parts, dict) for p, o in parts.items()]
+    rows = offset_rows((query.lastProgress or {}).get("sources", []))
     schema = "topic STRING, partition INT, offset BIGINT"
-    return spark.createDataFrame(latest, schema), spark.createDataFrame(done, schema)
+    latest = spark.createDataFrame([(t, p, high) for t, p, high, _ in rows], schema)
+    return latest, spark.createDataFrame([(t, p, done) for t, p, _, done in rows], schema)
+
+
+class LagListener(StreamingQueryListener):
+    """Hands (query name, topic, partition, high water, processed, lag) of every progress report to `report`.
+
+    Register with `spark.streams.addListener`; it is called after every micro-batch of every query.
+    """
+
+    def __init__(self, report: Callable[[list[tuple[str, str, int, int, int, int]]], None]) -> None:
+        self.report = report
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = json.loads(event.progress.json)
+        name = progress.get("name") or progress.get("id")
+        rows = [(name, *row, max(0, row[2] - row[3])) for row in offset_rows(progress.get("sources", []))]
+        if rows:
+            self.report(rows)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

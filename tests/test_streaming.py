@@ -168,3 +168,16 @@ def test_progress_offsets(spark):
 
     lag = partition_lag(*jobs.progress_offsets(spark, Query()))
     assert {r.partition: r["lag"] for r in lag.collect()} == {0: 3, 1: 0}
+
+
+def test_lag_listener(spark):
+    class Event:
+        class progress:  # noqa: N801
+            json = json.dumps({
+                "name": "ingest",
+                "sources": [{"endOffset": {"t": {"0": 5, "1": 9}}, "latestOffset": {"t": {"0": 8, "1": 9, "2": 1}}}, {"endOffset": {"logOffset": 3}, "latestOffset": None}],
+            })
+
+    seen = []
+    jobs.LagListener(seen.extend).onQueryProgress(Event)
+    assert seen == [("ingest", "t", 0, 8, 5, 3), ("ingest", "t", 1, 9, 9, 0)]
