@@ -6,6 +6,7 @@ binary heap: the children of `i` are `2i+1` (value <= threshold) and `2i+2`.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterable
 
@@ -38,9 +39,27 @@ def row_key_text(seed: int) -> Column:
     return F.concat_ws("|", F.unix_seconds("window_end").cast("string"), "geo", "platform", F.lit(str(seed)))
 
 
+def _digest(*parts: object) -> str:
+    return hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()
+
+
+def _uniform(*parts: object) -> float:
+    """In [0, 1), from the names given: the same in any engine with md5."""
+    return int(_digest(*parts)[:8], 16) / 2**32
+
+
+def draw_positions(total: int, size: int, tree_id: int, seed: int) -> list[int]:
+    """`size` different positions below `total`, in the order of their hashed draws."""
+    found: dict[int, None] = {}
+    draw = 0
+    while len(found) < size:
+        found.setdefault(int(_digest(seed, tree_id, draw)[:15], 16) % total)
+        draw += 1
+    return list(found)
+
+
 def _grow(sample: pd.DataFrame, tree_id: int, depth_limit: int, seed: int) -> pd.DataFrame:
-    """One tree over at most a few hundred rows."""
-    rng = np.random.default_rng([seed, tree_id])
+    """One tree over at most a few hundred rows; feature and threshold of a node are drawn from its name."""
     x = sample[list(MODEL_COLUMNS)].to_numpy()
     nodes = []
     open_nodes = [(0, 0, np.arange(len(x)))]
@@ -51,8 +70,8 @@ def _grow(sample: pd.DataFrame, tree_id: int, depth_limit: int, seed: int) -> pd
         if depth == depth_limit or splittable.size == 0:
             nodes.append((tree_id, node, -1, np.nan, -1, -1, members.size, depth + average_path(members.size)))
             continue
-        feature = int(rng.choice(splittable))
-        threshold = float(rng.uniform(low[feature], high[feature]))
+        feature = int(splittable[int(_uniform(seed, tree_id, node, "feature") * splittable.size)])
+        threshold = float(low[feature] + _uniform(seed, tree_id, node, "threshold") * (high[feature] - low[feature]))
         goes_left = x[members, feature] <= threshold
         nodes.append((tree_id, node, feature, threshold, 2 * node + 1, 2 * node + 2, members.size, np.nan))
         open_nodes.append((2 * node + 1, depth + 1, members[goes_left]))
@@ -77,8 +96,7 @@ def _drawn_rows(train: DataFrame, trees: int, max_samples: int, seed: int) -> tu
     if total == 0:
         raise ValueError("cannot fit a forest on no rows")
     size = min(max_samples, total)
-    rng = np.random.default_rng(seed)
-    position = np.concatenate([rng.choice(total, size, replace=False) for _ in range(trees)])
+    position = np.array([p for tree_id in range(trees) for p in draw_positions(total, size, tree_id, seed)])
     ends = counts["rows"].cumsum().to_numpy()
     at = np.searchsorted(ends, position, "right")
     draws = pd.DataFrame(

@@ -435,6 +435,27 @@ def forest_nodes(spark, sf_dir):
     return forest.fit_forest(_dataset(spark, sf_dir).train)
 
 
+#: a forest small enough to be grown again in SQL
+SMALL = {"trees": 3, "max_samples": 16}
+
+
+@query
+def small_forest_nodes(spark, sf_dir):
+    nodes = forest.fit_forest(_dataset(spark, sf_dir).train, **SMALL)
+    split = F.col("feature") >= 0
+    return nodes.select(
+        "tree_id", "node_id", "feature", F.round(F.when(split, F.col("threshold")), 9).alias("threshold"), "size",
+        F.round(F.when(~split, F.col("path_length")), 9).alias("path_length"),
+    )
+
+
+@query
+def small_forest_scores(spark, sf_dir):
+    ds = _dataset(spark, sf_dir)
+    scores = forest.with_scores(ds.validation, forest.load_scorer(forest.fit_forest(ds.train, **SMALL)))
+    return _rounded(_iso(scores.select("window_end", *KEYS, "anomaly_score"), "window_end"), "anomaly_score")
+
+
 def _fitted(ds: Dataset) -> Scorer:
     return forest.load_scorer(forest.fit_forest(ds.train))
 

@@ -201,6 +201,62 @@ SELECT *, concat_ws(',', CASE WHEN NOT coalesce(ctr_avg BETWEEN 0 AND 1, false)
 """)
 cte("served_requests", "request_checks", serving("request_checks WHERE faults = ''"))
 
+# --- a small forest, grown level by level ------------------------------------------------------------
+TREES, SAMPLES, DEPTH = 3, 16, 4
+
+
+def named(*parts: str) -> str:
+    """A draw in [0, 1) from the names of tree and node."""
+    return f"(('0x' || substr(md5({" || '|' || ".join(parts)}), 1, 8))::bigint / 4294967296.0::double)"
+
+
+def mean_path(size: str) -> str:
+    return f"""CASE WHEN {size} <= 1 THEN 0.0::double WHEN {size} = 2 THEN 1.0::double
+    ELSE 2.0::double * (ln({size} - 1) + {C.EULER_GAMMA!r}::double) - 2.0::double * ({size} - 1) / {size} END"""
+
+
+cte("train_rows", "scaled", f"""
+SELECT *, row_number() OVER (ORDER BY {uniform("t", 0)}, window_end, geo, platform) - 1 AS position, count(*) OVER () AS total
+FROM (SELECT *, {key_text()} AS t FROM scaled WHERE is_train)
+""")
+cte("forest_draws", "train_rows", f"""
+SELECT tree_id, position FROM (
+  SELECT tree_id, position, row_number() OVER (PARTITION BY tree_id ORDER BY min(draw)) AS nth FROM (
+    SELECT tree_id, draw, ('0x' || substr(md5('{C.FOREST_SEED}|' || tree_id || '|' || draw), 1, 15))::bigint % (SELECT max(total) FROM train_rows) AS position
+    FROM range({TREES}) a(tree_id), range({40 * SAMPLES}) b(draw)) GROUP BY tree_id, position)
+WHERE nth <= {SAMPLES}
+""")
+cte("members_0", "forest_draws train_rows", f"SELECT tree_id, 0 AS node_id, {', '.join(MODEL)} FROM forest_draws JOIN train_rows USING (position)")
+for depth in range(DEPTH + 1):
+    ranges = ", ".join(f"min({c}) AS low_{i}, max({c}) AS high_{i}" for i, c in enumerate(MODEL))
+    wide = ", ".join(f"CASE WHEN high_{i} > low_{i} THEN {i} END" for i in range(3))
+    chosen = named(f"'{C.FOREST_SEED}'", "tree_id", "node_id", "'feature'")
+    placed = named(f"'{C.FOREST_SEED}'", "tree_id", "node_id", "'threshold'")
+    pick = lambda kind: "CASE feature " + " ".join(f"WHEN {i} THEN {kind}_{i}" for i in range(3)) + " END"
+    cte(f"nodes_{depth}", f"members_{depth}", f"""
+SELECT tree_id, node_id, coalesce(feature, -1) AS feature, {pick("low")} + {placed} * ({pick("high")} - {pick("low")}) AS threshold, size,
+  CASE WHEN feature IS NULL THEN {depth} + {mean_path("size")} END AS path_length
+FROM (SELECT *, {"NULL" if depth == DEPTH else f"wide[floor({chosen} * len(wide))::bigint + 1]"} AS feature
+      FROM (SELECT *, list_filter([{wide}], lambda f: f IS NOT NULL) AS wide
+            FROM (SELECT tree_id, node_id, count(*) AS size, {ranges} FROM members_{depth} GROUP BY tree_id, node_id)))
+""")
+    value = "CASE feature " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(MODEL)) + " END"
+    cte(f"members_{depth + 1}", f"members_{depth} nodes_{depth}", f"""
+SELECT tree_id, 2 * node_id + 1 + ({value} > threshold)::int AS node_id, {', '.join(MODEL)} FROM members_{depth} JOIN nodes_{depth} USING (tree_id, node_id)
+WHERE feature >= 0
+""")
+cte("small_nodes", " ".join(f"nodes_{d}" for d in range(DEPTH + 1)), " UNION ALL ".join(f"SELECT * FROM nodes_{d}" for d in range(DEPTH + 1)))
+cte("descent_0", "scaled", f"SELECT window_end, geo, platform, {', '.join(MODEL)}, tree_id, 0 AS node_id FROM scaled, range({TREES}) a(tree_id) WHERE NOT is_train")
+for depth in range(DEPTH):
+    cte(f"descent_{depth + 1}", f"descent_{depth} small_nodes", f"""
+SELECT d.* REPLACE (CASE WHEN feature < 0 THEN d.node_id ELSE 2 * d.node_id + 1 + ({value} > threshold)::int END AS node_id)
+FROM descent_{depth} d JOIN small_nodes n ON d.tree_id = n.tree_id AND d.node_id = n.node_id
+""")
+cte("small_scores", f"descent_{DEPTH} small_nodes", f"""
+SELECT window_end, geo, platform, pow(2, -sum(path_length) / {TREES} / ({mean_path(str(SAMPLES))})) AS anomaly_score
+FROM descent_{DEPTH} JOIN small_nodes USING (tree_id, node_id) GROUP BY window_end, geo, platform
+""")
+
 # --- evaluation ------------------------------------------------------------------------------
 cte("validation", "bounded", f"""
 SELECT window_end, geo, platform, ctr, bounce, "count", md5({key_text()} || '|pick') AS draw, md5({key_text()} || '|top-up') AS draw2,
@@ -417,6 +473,8 @@ GROUP BY ALL"""),
         f"round({f}({c}), 9) AS {n}_{c}" for c in MODEL for n, f in (("min", "min"), ("max", "max"), ("mean", "avg"))) + " FROM scaled GROUP BY 1"),
     "serving_features": sql("served", f"SELECT {END_KEYS}, {MODEL_ROUNDED} FROM served"),
     "inverse_features": sql("scaled scaler", f"SELECT {END_KEYS}, round(ctr * s_ctr + m_ctr, 9) AS ctr, round(bounce * s_bounce + m_bounce, 9) AS bounce, round(greatest(exp(log_count * s_log_count + m_log_count) - 1, 1), 9) AS \"count\" FROM scaled, scaler"),
+    "small_forest_nodes": sql("small_nodes", "SELECT tree_id::int AS tree_id, node_id::int AS node_id, feature::int AS feature, round(threshold, 9) AS threshold, size::int AS size, round(path_length, 9) AS path_length FROM small_nodes"),
+    "small_forest_scores": sql("small_scores", f"SELECT {END_KEYS}, round(anomaly_score, 9) AS anomaly_score FROM small_scores"),
     "fixed_forest_scores": sql("fixed", f"SELECT {END_KEYS}, round(anomaly_score, 9) AS anomaly_score FROM fixed"),
     "contamination_flags": sql("fixed", f"""
 SELECT {END_KEYS}, round(-anomaly_score - off, 9) AS decision, -anomaly_score - off < 0 AS is_outlier
