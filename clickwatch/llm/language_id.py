@@ -9,8 +9,9 @@ language; a fifth of it is kept for calibration). As the layers are linear, a te
 scored from one table, embeddings times weights.
 
 Calibration fits a temperature on the kept rows, so that the score is the probability
-of the predicted language, and sets the rejection bound: the score below which at most
-`lost` of the rightly named kept rows lie, and never above `most_bound`.
+of the predicted language, and sets the rejection bound: the score below which less than the
+share `lost` of the rightly named kept rows lie, never above `most_bound`. Where that share
+is less than a row, only texts without a language are rejected.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0 and is
 rejected; rows without language are not learnt from; of rows repeating an id one is
@@ -136,8 +137,9 @@ def fit_softmax(texts: list[str], named: list[str], how: Training) -> Model:
         key=lambda t: -np.log(_softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean(),
     )
     sure = _softmax(logits / temperature)
-    right = sure.max(axis=1)[sure.argmax(axis=1) == truth]
-    bound = min(how.most_bound, float(np.quantile(right, how.lost, method="lower"))) if len(right) else 0.0
+    right = np.sort(sure.max(axis=1)[sure.argmax(axis=1) == truth])
+    allowed = int(how.lost * len(right))
+    bound = min(how.most_bound, float(right[allowed - 1])) if allowed else 0.0
     return Model(languages, table.astype(np.float32), float(temperature), bound)
 
 
