@@ -4,7 +4,7 @@ A text is its words, lower-cased, with a boundary on either side, and its featur
 are all runs of two to four characters of a word, boundaries included, hashed into
 2**17 buckets with an embedding each. Embeddings are averaged over the
 whole text and a linear layer scores the languages. Both are trained by stochastic gradient descent in
-numpy, in one task, on a bounded sample (`rows_per_language` rows of least id hash of every
+numpy, in one task, on a bounded sample (at most `rows_per_language` rows of least id hash of every
 language; a fifth of it is kept for calibration). As the layers are linear, a text is
 scored from one table, embeddings times weights.
 
@@ -174,8 +174,12 @@ def fit(
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = rows.select("doc_id", "lang").withColumn("nth", place).filter(F.col("nth") <= how.rows_per_language)
+    # about thrice the rows wanted of every language pass by their hash, whatever its size, before any are ranked
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    hashed = rows.select("doc_id", "lang", (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 52)) / (1 << 52)).alias("u"))
+    few = hashed.join(counts, "lang").filter(F.col("u") * F.col("rows") < 3 * how.rows_per_language)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("u", "doc_id"))
+    ids = few.withColumn("nth", place).filter(F.col("nth") <= how.rows_per_language)
     chosen = stage(ids.select("doc_id").distinct(), "language-sample")
     # at most `rows_per_language` ids of every language: the bound proves the broadcast
     sample = (
