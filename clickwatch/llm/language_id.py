@@ -44,7 +44,8 @@ _BLOCK = 1 << 20  # characters whose features are looked up at once
 class Training:
     rows_per_language: int = 1_500
     dimension: int = 16
-    passes: int = 4
+    #: rows seen by gradient descent, in passes over the sample
+    steps: int = 20_000
     rate: float = 0.5
     lost: float = 0.002
     most_bound: float = 0.5
@@ -116,11 +117,11 @@ def fit_softmax(texts: list[str], named: list[str], how: Training) -> Model:
             rows.append((at, (count / count.sum()).astype(np.float32), languages.index(name)))
     kept = rows[::5] if len(rows) >= 50 else rows
     taught = [r for i, r in enumerate(rows) if i % 5] if len(rows) >= 50 else rows
-    steps, step = how.passes * len(taught), 0
-    for _ in range(how.passes):
-        for i in rng.permutation(len(taught)):
+    step = 0
+    while taught and step < how.steps:
+        for i in rng.permutation(len(taught))[: how.steps - step]:
             at, share, y = taught[i]
-            rate = how.rate * (1 - step / steps)
+            rate = how.rate * (1 - step / how.steps)
             own = embedding[at]
             mean = share @ own
             error = _softmax(mean @ weight)
@@ -130,6 +131,8 @@ def fit_softmax(texts: list[str], named: list[str], how: Training) -> Model:
             embedding[at] = own - rate * how.dimension * share[:, None] * back
             step += 1
     table = embedding @ weight
+    if not kept:
+        return Model(languages, table, 1.0, 0.0)
     logits = np.array([share @ table[at] for at, share, _ in kept])
     truth = np.array([y for _, _, y in kept])
     temperature = min(

@@ -32,7 +32,7 @@ def labels(spark, rows):
 
 
 def model_of(spark):
-    return language_id.fit(edge_docs(spark), language_id.Training(passes=2))
+    return language_id.fit(edge_docs(spark), language_id.Training(steps=40))
 
 
 OPERATORS = {
