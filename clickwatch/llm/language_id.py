@@ -180,7 +180,8 @@ def fit(
     # about thrice the rows wanted of every language pass by their hash, whatever its size, before any are ranked
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
     hashed = rows.select("doc_id", "lang", (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 52)) / (1 << 52)).alias("u"))
-    few = hashed.join(counts, "lang").filter(F.col("u") * F.col("rows") < 3 * how.rows_per_language)
+    # one row per language, as many as the model has columns
+    few = hashed.join(F.broadcast(counts), "lang").filter(F.col("u") * F.col("rows") < 3 * how.rows_per_language)
     place = F.row_number().over(Window.partitionBy("lang").orderBy("u", "doc_id"))
     ids = few.withColumn("nth", place).filter(F.col("nth") <= how.rows_per_language)
     chosen = stage(ids.select("doc_id").distinct(), "language-sample")
