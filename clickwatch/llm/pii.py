@@ -20,6 +20,10 @@ pseudonyms in every document. Separators stay where they are.
 
 A mailbox is free text and has no fixed format; its 40-bit keyed hash is permuted instead.
 
+A run of groups that may hold a card or an IBAN is cut first: every length (of an IBAN, its
+country's) is tried from every group border, valid numbers are taken, and the rest is searched for
+the other kinds. Of overlapping cards the usual number of digits wins (`CARD_DIGITS`).
+
 Only built-in functions are used. Texts without a digit or `@` are not searched.
 Numbers that fail their check are left as they are.
 
@@ -49,6 +53,20 @@ PATTERNS = {
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
 KINDS = tuple(PATTERNS)
+#: runs that may hold IBANs or cards among other groups; these are cut before they are judged
+RUNS = PATTERNS | {
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9 ]{10,}[A-Z0-9](?![A-Za-z0-9])",
+    "card": r"(?<![0-9])[0-9][0-9 -]{11,}[0-9]",
+}
+#: characters of an IBAN by country; of a country not listed any length from 15 to 34 is tried
+IBAN_LENGTHS = (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 "
+    "FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 "
+    "ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 "
+    "ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30"
+)
+#: of overlapping valid cards the one whose number of digits comes first here is taken
+CARD_DIGITS = (16, 15, 14, 13, 19, 18, 17)
 ROUNDS = 8
 FIRST_DAY, DAYS = "1900-01-01", (17, 4297)  # 17 * 4297 days end on 2099-12-31
 _HASH_DIGITS = 15
@@ -136,12 +154,70 @@ def _mod97(text: Column) -> Column:
     return F.aggregate(F.split(text, ""), F.lit(0), step)
 
 
+def _card_valid(d: Column) -> Column:
+    return (_luhn(d) % 10 == 0) & (_number(F.substring(d, F.lit(1), F.lit(9))) > 0)
+
+
+def _iban_valid(plain: Column) -> Column:
+    at = F.position(plain.substr(1, 2), F.lit(IBAN_LENGTHS))
+    listed = _number(F.substring(F.lit(IBAN_LENGTHS), at + 2, F.lit(2)))
+    fits = F.when(at == 0, F.length(plain).between(15, 34)).otherwise(F.length(plain) == listed)
+    return fits & (_mod97(F.concat(F.substring(plain, F.lit(5), F.length(plain) - 4), F.substring(plain, 1, 4))) == 1)
+
+
+def _cut(m: Column, separators: str, shape: str, lengths: range, rank: Callable[[Column], Column], valid: Callable[[Column], Column]) -> Column:
+    """`m` as pieces: every valid number that begins and ends at group borders, and what lies between.
+
+    Of overlapping ones the smallest rank is taken, then the first.
+    """
+    at = lambda i: F.substring(m, i, F.lit(1))
+    border = lambda i: (i < 1) | (i > F.length(m)) | at(i).isin(*separators)
+    starts = F.filter(F.sequence(F.lit(1), F.length(m)), lambda i: border(i - 1) & ~border(i))
+
+    def spans(i: Column) -> Column:
+        ends = F.filter(F.sequence(i + lengths.start, i + lengths.stop - 1), lambda e: (e <= F.length(m) + 1) & border(e) & ~border(e - 1))
+        texts = F.transform(ends, lambda e: F.struct(i.alias("i"), e.alias("e"), F.substring(m, i, e - i).alias("t")))
+        shaped = F.filter(texts, lambda x: x["t"].rlike(f"^(?:{shape})$"))
+        plain = F.transform(shaped, lambda x: F.struct(x["i"], x["e"], F.translate(x["t"], separators, "").alias("t")))
+        good = F.filter(plain, lambda x: valid(x["t"]))
+        return F.transform(good, lambda x: F.struct(rank(x["t"]).cast("int").alias("r"), x["i"].alias("i"), x["e"].alias("e")))
+
+    apart = lambda taken, x: ~F.exists(taken, lambda y: (y["i"] < x["e"]) & (x["i"] < y["e"]))
+    none = F.array().cast("array<struct<i:int,e:int>>")
+    add = lambda taken, x: F.when(apart(taken, x), F.concat(taken, F.array(F.struct(x["i"].alias("i"), x["e"].alias("e"))))).otherwise(taken)
+    taken = F.aggregate(F.array_sort(F.flatten(F.transform(starts, spans))), none, add)
+    edges = F.flatten(F.transform(taken, lambda x: F.array(x["i"], x["e"])))
+    edges = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(1), F.length(m) + 1), edges)))
+    return F.transform(F.array(edges), lambda c: F.zip_with(
+        F.slice(c, F.lit(1), F.size(c) - 1), F.slice(c, F.lit(2), F.size(c) - 1), lambda i, e: F.substring(m, i, e - i)
+    ))[0]
+
+
+def _iban_pieces(m: Column) -> Column:
+    return F.when(m.rlike(f"^(?:{RUNS['iban']})$"), _cut(m, " ", PATTERNS["iban"], range(15, 44), lambda t: -F.length(t), _iban_valid)).otherwise(F.array(m))
+
+
+def _card_pieces(m: Column) -> Column:
+    first = lambda t: F.array_position(F.array(*map(F.lit, CARD_DIGITS)), F.length(t))
+    whole = "|".join(f"(?:{PATTERNS[k]})" for k in KINDS if k != "card")
+    cut = m.rlike(RUNS["card"]) & ~m.rlike(f"^(?:{whole})$")
+    return F.when(cut, _cut(m, " -", PATTERNS["card"], range(13, 38), first, _card_valid)).otherwise(F.array(m))
+
+
+def _split(m: Column, kinds: tuple[str, ...]) -> Column:
+    """A piece that is no number as a whole, split at the numbers of `kinds` in it."""
+    others = "|".join(f"(?:{PATTERNS[k]})" for k in kinds)
+    whole = "|".join(f"(?:{p})" for p in PATTERNS.values())
+    news = F.concat(F.regexp_extract_all(m, F.lit(others), F.lit(0)), F.array(F.lit("")))
+    parts = F.flatten(F.zip_with(F.split(m, others, -1), news, lambda p, n: F.array(p, n)))
+    return F.when(m.rlike(f"^(?:{whole})$"), F.array(m)).otherwise(parts)
+
+
 def _card(m: Column, how: Pseudonyms) -> tuple[Column, Column]:
     d = _digits(m)
     body = permuted_digits(F.substring(d, F.lit(1), F.length(d) - 1), "card", how)
     new = F.transform(F.array(body), lambda x: F.concat(x, ((10 - _luhn(F.concat(x, F.lit("0"))) % 10) % 10).cast("string")))[0]
-    valid = (_luhn(d) % 10 == 0) & (_number(F.substring(d, F.lit(1), F.lit(9))) > 0)
-    return valid, F.transform(F.array(new), lambda x: _refilled(m, x))[0]
+    return _card_valid(d), F.transform(F.array(new), lambda x: _refilled(m, x))[0]
 
 
 def _phone(m: Column, how: Pseudonyms) -> tuple[Column, Column]:
@@ -202,7 +278,7 @@ def _date(m: Column, how: Pseudonyms) -> tuple[Column, Column]:
 def _iban(m: Column, how: Pseudonyms) -> tuple[Column, Column]:
     plain = F.replace(m, F.lit(" "), F.lit(""))
     country, account = plain.substr(1, 2), F.substring(plain, F.lit(5), F.length(plain) - 4)
-    valid = F.length(plain).between(15, 34) & (_mod97(F.concat(account, F.substring(plain, 1, 4))) == 1)
+    valid = _iban_valid(plain)
     new = _refilled(account, permuted_digits(_digits(account), "iban", how))
 
     def write(x: Column) -> Column:
@@ -243,18 +319,22 @@ def pseudonymised(docs: DataFrame, how: Pseudonyms = Pseudonyms(), text: str = "
 
     A count whose name `docs` already has gets a free name of its own.
     """
-    anything = "|".join(f"(?:{p})" for p in PATTERNS.values())
+    anything = "|".join(f"(?:{p})" for p in RUNS.values())
     candidates, found = free_name(docs, "candidates"), free_name(docs, "found")
     searched = F.when(F.col(text).rlike("[0-9@]"), F.regexp_extract_all(F.col(text), F.lit(anything), F.lit(0)))
-    rows = docs.withColumn(candidates, F.coalesce(searched, F.array().cast("array<string>")))
-    judged = F.when(F.size(candidates) > 0, F.transform(F.col(candidates), lambda m: _judged(m, how)))
-    rows = rows.withColumn(found, judged)
+    rows = docs.withColumn(candidates, F.transform(F.coalesce(searched, F.array().cast("array<string>")), lambda m: F.array(m)))
+    # dates and the like keep their digits from being taken for a card's; phone numbers could be part of one
+    fixed, rest = (lambda m: _split(m, ("date", "ip", "ssn"))), (lambda m: _split(m, ("phone",)))
+    for pieces_of in (_iban_pieces, fixed, _card_pieces, rest):
+        cut = F.transform(F.col(candidates), lambda c: F.flatten(F.transform(c, pieces_of)))
+        rows = rows.withColumn(candidates, F.when(F.size(candidates) > 0, cut))
+    rows = rows.withColumn(found, F.transform(F.col(candidates), lambda c: F.transform(c, lambda m: _judged(m, how))))
     pieces = F.split(F.col(text), anything, -1)
-    news = F.concat(F.transform(F.col(found), lambda x: x["text"]), F.array(F.lit("")))
+    news = F.concat(F.transform(F.col(found), lambda c: F.array_join(F.transform(c, lambda x: x["text"]), "")), F.array(F.lit("")))
     new_text = F.array_join(F.zip_with(pieces, news, lambda p, n: F.concat(p, n)), "")
 
     def count(kind: str) -> Column:
-        of_kind = F.size(F.filter(F.col(found), lambda x: x["kind"] == kind))
+        of_kind = F.size(F.filter(F.flatten(found), lambda x: x["kind"] == kind))
         return F.when(F.col(found).isNull(), F.lit(0)).otherwise(of_kind).cast("long")
 
     counts = {free_name(docs, f"n_{kind}"): count(kind) for kind in KINDS}
