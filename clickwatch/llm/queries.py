@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from clickwatch.llm import (
     ann,
     decontaminate,
+    filter_audit,
     language_id,
     mixing,
     pii,
@@ -116,3 +117,12 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op10_url_verdicts"] = url_filter.judge_sql()
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Effect of five filters at every step of all 120 orders, per language."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLE["op12_filter_audit"] = filter_audit.audit_sql()
