@@ -17,6 +17,7 @@ from clickwatch.llm import (
     pii,
     secret_scan,
     simhash,
+    token_align,
     token_store,
     toxicity,
     url_filter,
@@ -25,6 +26,7 @@ from clickwatch.llm.common import held_out, table
 
 TOXIC_FROM = 0.3
 TOKENIZER = "word_bpe_49k.json"
+BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -126,3 +128,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op12_filter_audit"] = filter_audit.audit_sql()
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers lie over each other in every document."""
+    tokenizers = token_align.Tokenizers(public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES))
+    return token_align.aligned(table(spark, sf_dir, "documents"), tokenizers)
