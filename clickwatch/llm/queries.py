@@ -17,6 +17,7 @@ from clickwatch.llm import (
     pii,
     secret_scan,
     simhash,
+    suffix_dedup,
     token_align,
     token_store,
     toxicity,
@@ -121,6 +122,13 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op10_url_verdicts"] = url_filter.judge_sql()
 
 
+@query
+def op11_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps once all strings of 100 bytes that start earlier are removed."""
+    kept = suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Effect of five filters at every step of all 120 orders, per language."""
