@@ -20,9 +20,11 @@ read. The directory has a row per shard (of `shard_bytes`) and is all that is
 collected. Files are written with pyarrow's file systems, so the shared folder must be
 one they reach (local mount, HDFS, S3, GCS).
 
-Texts are cut at ASCII white space, which the tokenizer drops, and every different
-piece is encoded by the tokenizers library and kept in a bounded memo of the worker.
-A vocabulary that does not treat white space so needs `cut=False`.
+Texts are cut at ASCII white space if the tokenizer file says that white space only separates, and what
+is left is split by the file's own pattern and encoded by its model, every different word once
+while a worker remembers it. Pieces with letters whose lower case or composition libraries may see
+differently, or with a special token, are encoded whole by the tokenizers library; so are all texts
+of a tokenizer of another kind.
 
 Defined cases: a null text is empty and has the end id alone; a null key is a key,
 first in order; rows repeating a key are ordered by their text; an empty table gives an empty store.
@@ -30,18 +32,21 @@ first in order; rows repeating a key are ordered by their text; an empty table g
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import uuid
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,10 +55,11 @@ from pyspark.sql import functions as F
 from clickwatch.llm.common import text_key
 from clickwatch.session import new_path, stage
 
-#: a letters-only piece and the punctuation behind it are encoded apart
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?|]+)")
-#: pieces remembered by a worker, and words whose pieces are looked up together
-_HOT_PIECES, _COLD_PIECES, _GROUP_WORDS = 600_000, 300_000, 200_000
+#: characters that are composed as they stand and whose class and lower case (one character) every library agrees on
+_KNOWN = re.compile("[\x20-\x7eÀ-ÖØ-öø-įı-ɏ]*")
+#: words remembered by a worker (twice that at most, of so many bytes each), and words whose ids are looked up together
+_REMEMBERED, _LONGEST, _GROUP_WORDS = 120_000, 64, 100_000
+_ROWS = 256  # documents taken out of a batch at once
 _MAGIC, _HEADER = b"MPHI", "<4sIQ"  # magic, displacements, keys
 _SLOT = np.dtype([("fingerprint", "<u4"), ("rows", "<u4"), ("first", "<u8")])
 _TRIES = 1 << 20
@@ -64,9 +70,9 @@ _MIX = np.array([0x9E3779B97F4A7C15, 0xC4CEB9FE1A85EC53], np.uint64)
 class Layout:
     tokenizer: str
     end_id: int = 2
-    shard_bytes: int = 64 << 20
+    shard_bytes: int = 32 << 20
     keys_per_bucket: int = 50_000
-    cut: bool = True
+    cut: bool = True  # where the tokenizer allows it
 
 
 @dataclass(frozen=True)
@@ -96,31 +102,82 @@ def id_width(path: str) -> int:
     return 2 if _tokenizer(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
 
-class _Encoder:
-    """Encodes texts piece by piece, every different piece once while it is remembered.
+def _separating_pattern(path: str) -> str | None:
+    """The pattern by which a tokenizer splits lower-cased words, if white space separates and does no more."""
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
+    steps = [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ]
+    normal = parts["normalizer"] or {}
+    splits = (parts["pre_tokenizer"] or {}).get("pretokenizers", [])
+    split, letters = splits if len(splits) == 2 else ({}, {})
+    fits = (
+        normal.get("normalizers") == steps
+        and split.get("type") == "Split"
+        and (split.get("behavior"), split.get("invert")) == ("Removed", True)
+        and letters.get("type") == "ByteLevel"
+        and not (letters.get("add_prefix_space") or letters.get("use_regex"))
+        and parts["post_processor"] is None
+    )
+    return split["pattern"]["Regex"] if fits else None
 
-    A piece met again moves from `cold` to `hot`; most pieces are met once, so `cold` is emptied
-    whenever it is full and `hot` hardly ever. Unknown pieces are encoded in batches.
-    """
 
-    def __init__(self, path: str) -> None:
-        self.tokenizer, self.code = _tokenizer(path), "H" if id_width(path) == 2 else "I"
-        self.hot: dict[bytes, bytes] = {}
-        self.cold: dict[bytes, bytes] = {}
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if printable, else one from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class _Memo:
+    """Ids of words met lately: what is met again moves to the young half, the old half goes when that is full."""
+
+    def __init__(self) -> None:
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def take(self, words: set) -> tuple[dict, set]:
+        young, old = self.young, self.old
+        found = {w: young[w] for w in words & young.keys()}
+        words = words - found.keys()
+        for w in words & old.keys():
+            found[w] = young[w] = old[w]
+        return found, words - found.keys()
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array(self.code, e.ids).tobytes() for e in found]
+    def put(self, fresh: dict) -> None:
+        if max(map(len, fresh), default=0) > _LONGEST:
+            fresh = {w: ids for w, ids in fresh.items() if len(w) <= _LONGEST}
+        self.young.update(fresh)
+        if len(self.young) > _REMEMBERED:
+            self.young, self.old = {}, self.young
 
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return self._encode(texts)
 
-    def cut(self, texts: list[str]) -> Iterator[bytes]:
+class _Encoder:
+    """Encodes texts by words, every different word of a group once."""
+
+    def __init__(self, path: str) -> None:
+        self.tokenizer, self.code = _tokenizer(path), "H" if id_width(path) == 2 else "I"
+        self.model = self.tokenizer.model
+        pattern = _separating_pattern(path)
+        self.pattern = regex.compile(pattern) if pattern else None
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters = _byte_letters()
+        self.pieces, self.words = _Memo(), _Memo()
+
+    def whole(self, texts: Iterable[str]) -> Iterator[bytes]:
+        for text in texts:
+            yield array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def cut(self, texts: Iterable[str]) -> Iterator[bytes]:
         group, words = [], 0
         for text in texts:
             raw = text.encode("utf-8", "replace")
-            # the tokenizer lowers letters too, but finds special tokens before
-            group.append((raw if b"<|" in raw else raw.lower()).split())
+            # ASCII letters may be lowered here, but not where that may make or unmake a special token
+            low = raw.lower()
+            group.append((raw if any(t.lower() in low for t in self.special) else low).split())
             words += len(group[-1])
             if words >= _GROUP_WORDS:
                 yield from self._joined(group)
@@ -128,44 +185,53 @@ class _Encoder:
         yield from self._joined(group)
 
     def _joined(self, group: list[list[bytes]]) -> list[bytes]:
-        hot, cold = self.hot, self.cold
-        distinct = set().union(*group)
-        table = {p: hot[p] for p in distinct & hot.keys()}  # of this group only: small enough to stay in the cache
-        parts, unknown = {}, set()
-        for piece in distinct - table.keys():
-            if piece in cold:
-                hot[piece] = table[piece] = cold.pop(piece)
-                continue
-            plain = _PLAIN.fullmatch(piece.decode("utf-8", "replace"))
-            if plain:
-                parts[piece] = plain[1].encode(), plain[2].encode()
-                unknown.update(parts[piece])
-            else:
-                unknown.add(piece)
-        asked = [p for p in unknown if p not in hot and p not in cold]
-        fresh = dict(zip(asked, self._encode([p.decode("utf-8", "replace") for p in asked])))
-        for piece, halves in parts.items():
-            fresh[piece] = b"".join(next(m[h] for m in (fresh, hot, cold) if h in m) for h in halves)
-        table.update(fresh)
-        cold.update(fresh)
-        if len(cold) > _COLD_PIECES:
-            cold.clear()
-        if len(hot) > _HOT_PIECES:
-            hot.clear()
+        table, unknown = self.pieces.take(set().union(*group))
+        if unknown:
+            fresh = self._encoded_pieces(list(unknown))
+            self.pieces.put(fresh)
+            table.update(fresh)
         return [b"".join(map(table.__getitem__, pieces)) for pieces in group]
 
+    def _encoded_pieces(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        joined = b" ".join(pieces)
+        text, fresh = joined.decode("utf-8", "replace"), {}
+        if any(s in joined for s in self.special) or not _KNOWN.fullmatch(text):
+            plain = []
+            for piece in pieces:
+                letters = piece.decode("utf-8", "replace")
+                if _KNOWN.fullmatch(letters) and not any(s in piece for s in self.special):
+                    plain.append(piece)
+                else:
+                    fresh[piece] = next(self.whole([letters]))
+            pieces = plain
+            text = b" ".join(pieces).decode("utf-8", "replace")
+        # the pattern takes every character but white space, so the parts of a piece are found by their lengths
+        parts = self.pattern.findall(text.lower())
+        table, unknown = self.words.take(set(parts))
+        found = {}
+        for word in unknown:
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            found[word] = array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
+        self.words.put(found)
+        table.update(found)
+        ids = list(map(table.__getitem__, parts))
+        lengths = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        ends = np.searchsorted(lengths, np.cumsum(list(map(len, text.split(" ")))), "right").tolist()
+        fresh.update((p, b"".join(ids[i:j])) for p, i, j in zip(pieces, [0, *ends], ends))
+        return fresh
+
 
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> _Encoder:
     return _Encoder(path)
 
 
-def encoded(texts: list[str | None], layout: Layout) -> Iterator[bytes]:
+def encoded(texts: Iterable[str | None], layout: Layout) -> Iterator[bytes]:
     """The ids of every text and the end id, in the store's width."""
     encoder = _encoder(layout.tokenizer)
     end = array(encoder.code, [layout.end_id]).tobytes()
-    texts = [t or "" for t in texts]
-    return (ids + end for ids in (encoder.cut(texts) if layout.cut else encoder.whole(texts)))
+    texts = (t or "" for t in texts)
+    return (ids + end for ids in (encoder.cut(texts) if layout.cut and encoder.pattern else encoder.whole(texts)))
 
 
 # ---- files
@@ -190,31 +256,36 @@ def _read(root: str, name: str) -> bytes:
 
 
 class _ShardWriter:
-    """Cuts the documents of one task into shards of about `shard_bytes`."""
+    """Writes the documents of one task, as they come, into shards of about `shard_bytes`."""
 
     def __init__(self, root: str, layout: Layout) -> None:
         self.root, self.layout, self.width = root, layout, id_width(layout.tokenizer)
         self.task, self.attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
+        self.files, self.folder = _open_folder(root)
         self.done: list[tuple[int, int, str, int, int]] = []
-        self.ids, self.starts, self.bytes, self.number = [], [0], 0, 0
+        self.out, self.starts, self.bytes, self.number = None, array("Q", [0]), 0, 0
+
+    def _name(self) -> str:
+        return f"{self.task:06d}-{self.number:04d}-{self.attempt}"
 
     def add(self, ids: bytes) -> tuple[int, int, int]:
         """(task, shard of the task, row of the shard) of the next document."""
         if self.bytes and self.bytes + len(ids) > self.layout.shard_bytes:
             self.close()
-        self.ids.append(ids)
+        if self.out is None:
+            self.out = self.files.open_output_stream(f"{self.folder}/{self._name()}.ids", buffer_size=1 << 20)
+        self.out.write(ids)
         self.bytes += len(ids)
         self.starts.append(self.bytes // self.width)
         return self.task, self.number, len(self.starts) - 2
 
     def close(self) -> None:
-        if len(self.starts) > 1:
-            name = f"{self.task:06d}-{self.number:04d}-{self.attempt}"
-            _write(self.root, f"{name}.ids", b"".join(self.ids))
-            _write(self.root, f"{name}.off", np.array(self.starts, "<u8").tobytes())
-            self.done.append((self.task, self.number, name, len(self.starts) - 1, self.starts[-1]))
-        self.ids, self.starts, self.bytes = [], [0], 0
-        self.number += 1
+        if self.out is not None:
+            self.out.close()
+            _write(self.root, f"{self._name()}.off", np.array(self.starts, "<u8").tobytes())
+            self.done.append((self.task, self.number, self._name(), len(self.starts) - 1, self.starts[-1]))
+            self.number += 1
+        self.out, self.starts, self.bytes = None, array("Q", [0]), 0
 
 
 # ---- minimal perfect hash
@@ -310,7 +381,9 @@ def write_store(docs: DataFrame, layout: Layout, key: str = "doc_id", text: str
         key_type = None
         for batch in batches:
             key_type = batch.schema.types[0]
-            places = list(zip(*[shards.add(ids) for ids in encoded(batch.column(1).to_pylist(), layout)])) or [[], [], []]
+            parts = (batch.column(1).slice(i, _ROWS).to_pylist() for i in range(0, batch.num_rows, _ROWS))
+            texts = chain.from_iterable(parts)
+            places = list(zip(*[shards.add(ids) for ids in encoded(texts, layout)])) or [[], [], []]
             none = [None] * batch.num_rows
             columns = [*places, none, none, none]
             arrays = [batch.column(0), *[pa.array(c, t) for c, t in zip(columns, types[1:])]]

@@ -279,6 +279,19 @@ def test_pieces_encode_like_whole_texts():
             assert a == b, text
 
 
+def test_random_pieces_encode_like_whole_texts():
+    """Every letter of the plain class before every mark, and random texts of both."""
+    letters = [chr(c) for c in range(0xC0, 0x250)] + list("abcXYZ") * 40
+    marks = [*".,;:!?|'\"-_()019#@", "'s", "'LL", "<|endoftext|>", "<|ENDOFTEXT|>", "\u0307", "\u0301", "Σ", "日", "\xa0", " ", "\t", "\x1c"]
+    rng = np.random.default_rng(0)
+    pool = letters + marks * 8
+    texts = [a + b for a in letters[:400] for b in marks]
+    texts += ["".join(rng.choice(pool, rng.integers(0, 30))) for _ in range(10_000)] + ["TÜRKİYE BELEDİYESİ. Son."]
+    whole = token_store.Layout(LAYOUT.tokenizer, cut=False)
+    assert token_store._encoder(LAYOUT.tokenizer).pattern
+    assert list(token_store.encoded(texts, LAYOUT)) == list(token_store.encoded(texts, whole))
+
+
 # ---- neighbours
 
 
