@@ -49,13 +49,13 @@ from clickwatch.session import stage, use_all_cores
 class Repeats:
     length: int = 100
     gram: int = 24
-    block_bytes: int = 2 << 20
+    block_bytes: int = 1 << 19
     often: int = 1024  # an anchor met more often is split
 
 
 _NO_ID = -(1 << 63)
-#: bytes hashed at once (positions take 24 bits), and windows of a text cut into pieces
-_GROUP, _PIECE = 8 << 20, 4 << 20
+#: bytes hashed at once (few enough for the cache; positions take 24 bits), and windows of a piece of a longer text
+_GROUP, _PIECE = 1 << 18, 1 << 18
 _BORDER = 0xFF  # not used by UTF-8
 _LENGTH_BITS = 20  # of a run's number of windows, behind its start
 _CLASS_BITS = 7
