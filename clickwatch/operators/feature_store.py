@@ -10,7 +10,6 @@ from pyspark.sql.window import Window
 
 from clickwatch import constants as C
 from clickwatch.operators.windows import KEYS
-from clickwatch.session import stage
 
 VALUES = ("ctr_avg", "bounce_rate_avg", "event_count")
 
@@ -90,26 +89,11 @@ def online_lookup(entities: DataFrame, online: DataFrame, as_of: Column, ttl: st
     )
 
 
-def _validity(features: DataFrame) -> DataFrame:
-    """One row per (key, window end) with `_next_end`, the following end of the key.
-
-    Of rows delivered for one end the greatest (count, ratios) stands. A key's history is
-    ordered per day; the last row of a day looks up the first end of the key's next day,
-    found among one row per key and day.
-    """
+def _delivered(features: DataFrame) -> DataFrame:
+    """One row per (key, window end): of rows delivered for one end the greatest (count, ratios) stands."""
     ratios = [v for v in VALUES if v != "event_count"]
-    one = (
-        features.filter(F.col("window_end").isNotNull())
-        .groupBy(*KEYS, "window_end")
-        .agg(F.max(F.struct("event_count", *ratios)).alias("_row"))
-        .select(*KEYS, "window_end", "_row.*", F.to_date("window_end").alias("_day"))
-    )
-    one = stage(one, "asof-features")
-    days = one.groupBy(*KEYS, "_day").agg(F.min("window_end").alias("_first"))
-    days = days.withColumn("_next_first", F.lead("_first").over(Window.partitionBy(*KEYS).orderBy("_day"))).drop("_first")
-    in_day = F.lead("window_end").over(Window.partitionBy(*KEYS, "_day").orderBy("window_end"))
-    joined = one.withColumn("_in_day", in_day).join(days, [*KEYS, "_day"])
-    return joined.select(*KEYS, "window_end", *VALUES, F.coalesce("_in_day", "_next_first").alias("_next_end"))
+    one = features.filter(F.col("window_end").isNotNull()).groupBy(*KEYS, "window_end")
+    return one.agg(F.max(F.struct("event_count", *ratios)).alias("_row")).select(*KEYS, "window_end", "_row.*")
 
 
 def asof_features(
@@ -117,29 +101,47 @@ def asof_features(
     features: DataFrame,
     time: str = "ts",
     ttl: str = C.ONLINE_TTL,
-    grain: str = "minute",
+    grain: str = "hour",
 ) -> DataFrame:
     """For each row the newest feature window that had ended by its time.
 
-    Features are spread over the grains in which they can be the newest, from their
-    own end to the next one (or the ttl), and joined by equality on (keys, grain); of
-    the few features that share a grain the one whose validity holds the row's time
-    matches. Window ends may lie anywhere and be delivered repeatedly. The event-sized
-    side is neither sorted nor matched twice, and a busy key is spread over its grains.
-    Rows without key or time have no feature.
+    An ordered merge: rows and features are dealt by key and grain of time, and within each
+    such range the last feature met in time order is carried along. What a range begins
+    with is the last feature of the key's ranges before it, a running value over one
+    row per key and range, joined on the partitioning the merge already has. So every row and every
+    feature moves once, whatever the ttl and however sparse a key, and a busy key is
+    spread over its ranges. Window ends may lie anywhere and be delivered repeatedly. Rows without key
+    or time have no feature.
     """
-    age = _ttl(ttl)
-    valid = _validity(features)
-    until = F.least(F.coalesce("_next_end", F.col("window_end") + age), F.col("window_end") + age)
-    step = F.expr(f"INTERVAL 1 {grain}")
-    grains = F.sequence(F.date_trunc(grain, "window_end"), F.date_trunc(grain, until), step)
-    found = valid.select(*[F.col(k).alias(f"_{k}") for k in KEYS], "window_end", *VALUES, "_next_end", F.explode(grains).alias("_grain_of"))
-    found = stage(found, "asof-grains").alias("f")
-    at = F.col(f"r.{time}")
-    holds = (F.col("f.window_end") <= at) & (F.col("f.window_end") >= at - age)
-    holds = holds & (F.col("f._next_end").isNull() | (at < F.col("f._next_end")))
-    same = (F.date_trunc(grain, at) == F.col("f._grain_of")) & holds
+    age, marks = _ttl(ttl), [f"_{k}" for k in KEYS]
+    complete = F.col(time).isNotNull()
     for key in KEYS:
-        same = same & (F.col(f"r.{key}") == F.col(f"f._{key}"))
-    joined = rows.alias("r").join(found, same, "left")
-    return joined.select(*[F.col(f"r.`{c}`") for c in rows.columns], *[F.col(f"f.{v}") for v in ("window_end", *VALUES)])
+        complete = complete & F.col(key).isNotNull()
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    asked = rows.filter(complete).select(
+        *[F.col(k).alias(f"_{k}") for k in KEYS], F.col(time).alias("_at"), F.lit(1).alias("_side"), whole.alias("_row")
+    )
+    ended = F.struct("window_end", *VALUES).alias("_feature")
+    one = _delivered(features).select(
+        *[F.col(k).alias(f"_{k}") for k in KEYS], F.col("window_end").alias("_at"), F.lit(0).alias("_side"), ended
+    )
+    span = F.date_trunc(grain, "_at").alias("_span")
+    # what each range of a key begins with: one row per key and range
+    lasts = one.groupBy(*marks, span).agg(F.max("_feature").alias("_last"))
+    ranges = lasts.unionByName(asked.select(*marks, span).distinct(), allowMissingColumns=True)
+    ranges = ranges.groupBy(*marks, "_span").agg(F.max("_last").alias("_last"))
+    earlier = Window.partitionBy(*marks).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    begins = ranges.select(*marks, "_span", F.last("_last", ignorenulls=True).over(earlier).alias("_before"))
+    # the merge
+    both = asked.unionByName(one, allowMissingColumns=True).select("*", span)
+    so_far = Window.partitionBy(*marks, "_span").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    merged = both.withColumn("_last", F.last("_feature", ignorenulls=True).over(so_far)).filter("_side = 1").drop("_feature")
+    newest = F.coalesce("_last", "_before")
+    found = merged.join(begins, [*marks, "_span"], "left").select(
+        "_row.*", F.when(newest["window_end"] >= F.col("_at") - age, newest).alias("_found")
+    )
+    names = ("window_end", *VALUES)
+    matched = found.select(*[F.col(f"`{c}`") for c in rows.columns], *[F.col(f"_found.{v}") for v in names])
+    kinds = dict(matched.dtypes[-len(names) :])
+    lone = rows.filter(~complete).select("*", *[F.lit(None).cast(kinds[v]).alias(v) for v in names])
+    return matched.union(lone)

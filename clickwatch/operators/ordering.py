@@ -7,7 +7,8 @@ for tables of any size.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import struct
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -15,7 +16,8 @@ from pyspark.sql.window import Window
 
 from clickwatch.session import stage
 
-VALUE_BUCKETS = 4096
+#: bits of an ordered double that each pass looks at, from the top: six passes reach every bit
+DIGIT_SHIFTS = (55, 44, 33, 22, 11, 0)
 
 
 def kth_key(df: DataFrame, k: int, levels: Sequence[Column], order_by: Sequence[str]) -> Row:
@@ -119,53 +121,84 @@ def running_totals(
     )
 
 
-def kth_value(values: DataFrame, column: str, k: int) -> tuple[float, int]:
-    """(`k`-th smallest number, rows up to it) of a double column without NULL and NaN.
+def ordered_bits(value: Column) -> Column:
+    """The bits of a double as a long that has the doubles' order; -0.0 counts as 0.0."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToRawLongBits"), value + F.lit(0.0)).cast("bigint")
+    return F.when(bits < 0, bits.bitwiseXOR(F.lit((1 << 63) - 1))).otherwise(bits)
 
-    The range of the values is cut into equal buckets that are counted; the bucket holding position
-    `k`, narrowed to its own least and largest value, is the next range, until it is a single
-    value. A pass is one aggregate of at most VALUE_BUCKETS rows.
+
+def _double_of(key: int) -> float:
+    bits = key if key >= 0 else key ^ ((1 << 63) - 1)
+    return struct.unpack(">d", struct.pack(">q", bits))[0]
+
+
+def order_statistics(df: DataFrame, column: str, ranks_of: Callable[[int], Sequence[int]]) -> dict[int, float]:
+    """Numbers at several ranks (from 1) of a column; NULL and NaN are left out.
+
+    `ranks_of` gives the ranks sought among so many numbers. Values are counted by the digits of
+    their ordered bits: a pass counts the next digit below the prefixes in which a sought rank
+    falls, for all ranks together, and a prefix that holds one value only needs no further pass. So
+    six passes find any ranks of any doubles; a pass moves at most a row per rank and digit.
     """
-    v = F.col(column)
-    low, high, _ = values.agg(F.min(v), F.max(v), F.count(v)).first()
-    below = 0
-    while True:
-        if math.isinf(low) or math.isinf(high):  # no finite width: infinities by themselves
-            bucket = F.when(v == float("-inf"), 0).when(v == float("inf"), 2).otherwise(1)
-        elif low < high:
-            # halves keep the width finite
-            width = F.lit(high / 2 - low / 2)
-            bucket = F.least(F.floor((v / 2 - F.lit(low / 2)) / width * VALUE_BUCKETS), F.lit(VALUE_BUCKETS - 1))
-        else:
-            bucket = F.lit(0)
-        counts = (
-            values.filter(v.between(low, high))
-            .groupBy(bucket.cast("int").alias("bucket"))
-            .agg(F.count(F.lit(1)).alias("rows"), F.min(v).alias("low"), F.max(v).alias("high"))
-            .orderBy("bucket")
-            .collect()
+    v = F.col(column).cast("double")
+    keys = df.filter(v.isNotNull() & ~F.isnan(v)).select(ordered_bits(v).alias("key"))
+    found: dict[int, float] = {}
+    open_ranks: dict[int | None, list[tuple[int, int]]] = {}  # prefix: (rank, rank below the prefix)
+    for level, shift in enumerate(DIGIT_SHIFTS):
+        prefix = F.shiftright("key", shift)
+        parent = F.shiftright("key", DIGIT_SHIFTS[level - 1]) if level else F.lit(None).cast("bigint")
+        inside = keys.filter(parent.isin(list(open_ranks))) if level else keys
+        counts = inside.groupBy(parent.alias("parent"), prefix.alias("prefix")).agg(
+            F.count(F.lit(1)).alias("rows"), F.min("key").alias("low"), F.max("key").alias("high")
         )
-        for part in counts:
-            if below + part["rows"] >= k:
-                low, high, upto = part["low"], part["high"], below + part["rows"]
-                break
-            below += part["rows"]
-        else:
-            raise ValueError(f"position {k} is beyond the table")
-        if low == high:
-            return low, upto
+        parts: dict[int | None, list] = {}
+        for row in sorted(counts.collect(), key=lambda r: r["prefix"]):
+            parts.setdefault(row["parent"], []).append(row)
+        if not level:
+            total = sum(row["rows"] for row in parts.get(None, []))
+            open_ranks = {None: [(rank, rank) for rank in ranks_of(total)]} if total else {}
+        below: dict[int | None, list[tuple[int, int]]] = {}
+        for above, sought in open_ranks.items():
+            for rank, left in sought:
+                for row in parts[above]:
+                    if left <= row["rows"]:
+                        break
+                    left -= row["rows"]
+                else:
+                    raise ValueError(f"rank {rank} is beyond the table")
+                if row["low"] == row["high"]:
+                    found[rank] = _double_of(row["low"])
+                else:
+                    below.setdefault(row["prefix"], []).append((rank, left))
+        open_ranks = below
+        if not open_ranks:
+            break
+    return found
+
+
+def exact_quantiles(df: DataFrame, column: str, ps: Sequence[float]) -> list[float | None]:
+    """Quantiles with linear interpolation between neighbours, all in one descent.
+
+    NULL and NaN are left out; without a number every quantile is None.
+    """
+    size = 0
+
+    def ranks_of(total: int) -> list[int]:
+        nonlocal size
+        size = total
+        positions = [(total - 1) * p for p in ps]
+        return sorted({math.floor(x) + 1 for x in positions} | {math.ceil(x) + 1 for x in positions})
+
+    at = order_statistics(df, column, ranks_of)
+    if not size:
+        return [None] * len(ps)
+    quantiles = []
+    for p in ps:
+        position = (size - 1) * p
+        low, high = at[math.floor(position) + 1], at[math.ceil(position) + 1]
+        quantiles.append(low if low == high else low + (high - low) * (position - math.floor(position)))
+    return quantiles
 
 
 def exact_quantile(df: DataFrame, column: str, p: float) -> float | None:
-    """The `p` quantile with linear interpolation between neighbours; NULL and NaN are left out, None without a number."""
-    values = df.select(F.col(column).cast("double").alias("value")).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    total = values.count()
-    if not total:
-        return None
-    position = (total - 1) * p
-    low = math.floor(position)
-    bottom, upto = kth_value(values, "value", low + 1)
-    if position == low or upto > low + 1:
-        return bottom
-    top = values.filter(F.col("value") > bottom).agg(F.min("value")).first()[0]
-    return bottom + (top - bottom) * (position - low)
+    return exact_quantiles(df, column, [p])[0]

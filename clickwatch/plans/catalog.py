@@ -582,7 +582,8 @@ def roc_curve_corners(spark, sf_dir):
 def value_quantiles(spark, sf_dir):
     """Exact quantiles of a column with a different value in nearly every row."""
     values = stage(clickstream.events(spark, sf_dir).select((F.col("value") + F.col("event_id") / 1e7).alias("x")), "values")
-    rows = [(p, ordering.exact_quantile(values, "x", p)) for p in (0.0, 0.02, 0.5, 0.98, 0.999, 1.0)]
+    ps = (0.0, 0.02, 0.5, 0.98, 0.999, 1.0)
+    rows = list(zip(ps, ordering.exact_quantiles(values, "x", ps)))
     return _rounded(spark.createDataFrame(rows, "p DOUBLE, quantile DOUBLE"), "quantile")
 
 

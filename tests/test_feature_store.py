@@ -124,3 +124,24 @@ def test_asof_takes_off_grid_and_repeated_features(spark):
 def test_latest_values_need_no_sort(spark):
     plan = feature_store.latest_online(_features(spark, [("US", "web", 1)]))._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "Sort" not in plan
+
+
+def test_asof_of_sparse_keys_and_a_long_ttl(spark):
+    """Each row and each feature moves once, whatever the ttl: a feature 29 days old is found, one of 31 is not."""
+    features = spark.createDataFrame(
+        [("US", "web", "2024-01-01 00:00:00", 0.1, 0.2, 1), ("US", "web", "2024-01-01 00:00:00", 0.1, 0.2, 3),
+         ("US", "ios", "2024-02-01 10:00:00", 0.3, 0.4, 7), ("US", "ios", "2024-02-01 10:30:00", 0.5, 0.6, 9)],
+        "geo STRING, platform STRING, end STRING, ctr_avg DOUBLE, bounce_rate_avg DOUBLE, event_count BIGINT",
+    ).withColumn("window_end", F.col("end").cast("timestamp")).drop("end")
+    asked = [
+        (1, "US", "web", "2024-01-30 00:00:00", 3), (2, "US", "web", "2024-02-01 00:00:00", None),
+        (3, "US", "web", "2023-12-31 23:59:59", None), (4, "US", "ios", "2024-02-01 10:00:00", 7),
+        (5, "US", "ios", "2024-02-01 10:29:59", 7), (6, "US", "ios", "2024-02-01 10:30:00", 9), (7, "US", "ios", "2024-02-20 00:00:00", 9),
+        (8, None, "ios", "2024-02-20 00:00:00", None), (9, "US", "ios", None, None), (10, "DE", "ios", "2024-02-20 00:00:00", None),
+    ]
+    rows = spark.createDataFrame([r[:4] for r in asked], "id INT, geo STRING, platform STRING, at STRING")
+    rows = rows.withColumn("ts", F.col("at").cast("timestamp"))
+    found = feature_store.asof_features(rows, features, ttl="30 days")
+    assert {r.id: r.event_count for r in found.collect()} == {r[0]: r[4] for r in asked}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and found.columns == [*rows.columns, "window_end", "ctr_avg", "bounce_rate_avg", "event_count"]

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clickwatch.operators.ordering import exact_quantile, group_cutoffs, kth_key, running_totals, up_to_key
+from clickwatch.operators.ordering import exact_quantile, exact_quantiles, group_cutoffs, kth_key, order_statistics, running_totals, up_to_key
 
 
 @pytest.fixture(scope="module")
@@ -88,3 +88,32 @@ def test_exact_quantile_of_nothing_and_infinity(spark):
     assert exact_quantile(spark.createDataFrame([], "x DOUBLE"), "x", 0.5) is None
     df = spark.createDataFrame([(-math.inf,), (1.0,), (2.0,), (math.inf,)], "x DOUBLE")
     assert exact_quantile(df, "x", 1 / 3) == 1.0 and exact_quantile(df, "x", 1.0) == math.inf
+
+
+def test_order_statistics_of_any_doubles_in_six_passes(spark):
+    """Subnormals, infinities, signed zeros and neighbours; all ranks in one descent of at most six jobs."""
+    rng = random.Random(3)
+    values = [5e-324, -5e-324, 1e-300, 1e300, math.inf, -math.inf, 0.0, -0.0, 1.0, math.nextafter(1.0, 2), -1e-310, 2.0, 2.0]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randint(-300, 300) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (math.nan,)], "x DOUBLE").repartition(4).cache()
+    df.count()
+    ordered = sorted(v + 0.0 for v in values)
+    ranks = [1, 2, 250, 251, 252, 253, 254, 255, 256, 257, 258, len(values) - 1, len(values)]
+    spark.sparkContext.setJobGroup("order", "")
+    found = order_statistics(df, "x", lambda total: ranks)
+    stages = spark.sparkContext.statusTracker().getJobIdsForGroup("order")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found == {k: ordered[k - 1] for k in ranks}
+    # adaptive execution runs a pass as two jobs, its shuffle and its result
+    assert len(stages) <= 12
+    with pytest.raises(ValueError):
+        order_statistics(df, "x", lambda total: [total + 1])
+
+
+def test_several_quantiles_at_once(spark):
+    rng = random.Random(4)
+    values = [rng.choice([rng.gauss(0, 1), 3.0, -1e-9]) for _ in range(700)]
+    df = spark.createDataFrame([(v,) for v in values], "x DOUBLE")
+    ps = [0.0, 0.1, 0.5, 0.98, 0.999, 1.0]
+    assert exact_quantiles(df, "x", ps) == pytest.approx([float(np.quantile(values, p)) for p in ps], rel=1e-12, abs=1e-12)
+    assert exact_quantiles(df.limit(0), "x", ps) == [None] * 6
