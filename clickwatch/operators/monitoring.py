@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from clickwatch import constants as C
 
@@ -73,6 +74,52 @@ def histogram_quantile(
     return counted.select(F.col("w.start").alias("window_start"), F.col("all").alias("observations"), estimate.alias("quantile"))
 
 
+def counter_increases(samples: DataFrame, series: Sequence[str], time: str = "at", value: str = "value") -> DataFrame:
+    """Adds `increase`, what a growing counter has gained since the sample before it.
+
+    A sample below the one before it means that the counter was restarted from zero, so all of it is gain. The
+    first sample of a series gains nothing: when it was counted is not known.
+    """
+    before = F.lag(value).over(Window.partitionBy(*series).orderBy(time))
+    gained = F.when(before.isNull(), F.lit(0)).when(F.col(value) < before, F.col(value)).otherwise(F.col(value) - before)
+    return samples.withColumn("increase", gained.cast("bigint"))
+
+
+def counter_rate(samples: DataFrame, series: Sequence[str], labels: Sequence[str], time: str = "at", value: str = "value") -> DataFrame:
+    """Gain per second of sampled counters over consecutive 5-minute windows, per `labels`."""
+    gained = counter_increases(samples, series, time, value)
+    return (
+        gained.groupBy(F.window(time, C.RATE_WINDOW).alias("w"), *labels)
+        .agg((F.sum("increase") / F.lit(float(C.RATE_WINDOW_SECONDS))).alias("per_second"))
+        .select(F.col("w.start").alias("window_start"), *labels, "per_second")
+    )
+
+
+def bucket_quantile(
+    samples: DataFrame, series: Sequence[str], p: float = 0.95, le: str = "le", time: str = "at", value: str = "value"
+) -> DataFrame:
+    """Estimated `p` quantile per 5-minute window from sampled cumulative bucket counters of all series together.
+
+    `le` is the upper bound of a bucket as a number, infinity for the last one. Linear inside the bucket where the rank
+    falls; in the last bucket the bound before it is the answer. Windows without gain are left out.
+    """
+    gained = counter_increases(samples, [*series, le], time, value)
+    counts = gained.groupBy(F.window(time, C.RATE_WINDOW).alias("w"), le).agg(F.sum("increase").alias("upto"))
+    order = Window.partitionBy("w").orderBy(le)  # a row per bound
+    ranked = counts.select(
+        "w", le, "upto",
+        F.coalesce(F.lag(le).over(order), F.lit(0.0)).alias("low"),
+        F.coalesce(F.lag("upto").over(order), F.lit(0)).alias("below"),
+        F.max("upto").over(Window.partitionBy("w")).alias("observations"),
+    )
+    rank = F.col("observations") * F.lit(p)
+    inside = F.col("low") + (F.col(le) - F.col("low")) * F.try_divide(rank - F.col("below"), (F.col("upto") - F.col("below")).cast("double"))
+    estimate = F.when(F.col(le) == float("inf"), F.col("low")).otherwise(inside)
+    hit = ranked.filter((F.col("observations") > 0) & (F.col("upto") >= rank)).select("w", "observations", le, estimate.alias("estimate"))
+    found = hit.groupBy("w").agg(F.max("observations").alias("observations"), F.min_by("estimate", le).alias("quantile"))
+    return found.select(F.col("w.start").alias("window_start"), "observations", "quantile")
+
+
 def partition_lag(highwater: DataFrame, committed: DataFrame) -> DataFrame:
     """Unread messages per partition known to both sides; (topic, partition, offset) each."""
     joined = highwater.withColumnRenamed("offset", "highwater").join(

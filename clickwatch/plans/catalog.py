@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from clickwatch import constants as C
 from clickwatch.functions import rules
@@ -29,7 +30,7 @@ from clickwatch.sinks.tables import append_batch, read_batches
 from clickwatch.sinks.topics import as_json, file_topic_writer
 from clickwatch.sources import clickstream
 from clickwatch.sources.tables import read_offline
-from clickwatch.streaming import jobs
+from clickwatch.streaming import expiry, jobs
 from clickwatch.streaming.sources import file_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -667,6 +668,38 @@ def latency_p95(spark, sf_dir):
     return _rounded(_iso(monitoring.histogram_quantile(ev, "ts", F.col("seconds")), "window_start"), "quantile")
 
 
+def _counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latency bucket counters of three instances, read every minute; all restart at the full hour."""
+    ev = clickstream.events(spark, sf_dir).select(
+        (F.col("user_id") % 3).cast("int").alias("instance"),
+        F.date_trunc("minute", clickstream.squeezed_time()).alias("minute"),
+        (F.col("value") / 100).alias("seconds"),
+    )
+    bounds = [*C.LATENCY_BUCKETS, float("inf")]
+    counts = [F.count_if(F.col("seconds") <= b).alias(f"b{i}") for i, b in enumerate(bounds)]
+    life = Window.partitionBy("instance", F.date_trunc("hour", "minute")).orderBy("minute")
+    held = [F.struct(F.lit(b).alias("le"), F.sum(f"b{i}").over(life).alias("value")) for i, b in enumerate(bounds)]
+    read = ev.groupBy("instance", "minute").agg(*counts).select(
+        "instance", (F.col("minute") + F.expr("INTERVAL 1 minute")).alias("at"), F.array(*held).alias("held")
+    )
+    return read.select("instance", "at", F.inline("held"))
+
+
+@query
+def counter_served_rate(spark, sf_dir):
+    """Gain per second of sampled counters that restart, per instance."""
+    totals = _counter_samples(spark, sf_dir).filter(F.col("le") == float("inf"))
+    rate = monitoring.counter_rate(totals, ["instance"], ["instance"])
+    return _rounded(_iso(rate, "window_start"), "per_second")
+
+
+@query
+def counter_latency_p95(spark, sf_dir):
+    """95th percentile from the bucket counters of all instances."""
+    found = monitoring.bucket_quantile(_counter_samples(spark, sf_dir), ["instance"])
+    return _rounded(_iso(found, "window_start"), "quantile")
+
+
 @query
 def partition_lag(spark, sf_dir):
     ev = clickstream.events(spark, sf_dir).select(
@@ -704,21 +737,48 @@ def stream_sliding_features(spark, sf_dir):
     return jobs.parsed_features(spark.read.schema("value STRING").text(path), strict=True)
 
 
-@query
-def stream_late_events(spark, sf_dir):
-    """Three runs of the window job on one checkpoint; the third brings rows whose windows have closed."""
+def _late_runs(spark: SparkSession, sf_dir: str, runs: int) -> tuple[str, str]:
+    """(features, checkpoint) after so many runs of the window job; the third brings rows whose windows have closed."""
     topic, path, checkpoint = (new_path(spark, x) for x in ("late-topic", "late-features", "late-checkpoint"))
     cl = clickstream.clicks(spark, sf_dir)
     late = (F.col("event_id") % 7 == 0) & (F.col("ts") < _at("2024-01-01 01:00:00"))
     part = F.when(late, 3).when(F.col("ts") < _at("2024-01-01 02:00:00"), 1).when(F.col("ts") < _at("2024-01-01 04:00:00"), 2).otherwise(3)
     raw = stage(clickstream.to_raw(cl).join(cl.select("event_id", part.alias("part")), "event_id"), "late-rows")
-    for run in (1, 2, 3):
+    for run in range(1, runs + 1):
         raw.filter(F.col("part") == run).select("value").write.mode("append").text(topic)
         features = as_json(jobs.feature_stream(file_stream(spark, topic)))
         jobs.run(file_topic_writer(features, path), checkpoint, available_now=True).awaitTermination()
+    return path, checkpoint
+
+
+@query
+def stream_late_events(spark, sf_dir):
+    """Three runs of the window job on one checkpoint."""
+    path, _ = _late_runs(spark, sf_dir, 3)
     return jobs.parsed_features(spark.read.schema("value STRING").text(path), strict=True)
 
 
+@query
+def stream_open_windows(spark, sf_dir):
+    """Windows still open after the second run, read from the state the third run starts from."""
+    _, checkpoint = _late_runs(spark, sf_dir, 2)
+    state = jobs.window_state(spark, checkpoint)
+    return _iso(state, "window_end")
+
+
+@query
+def stream_online_expiry(spark, sf_dir):
+    """Two runs of the expiring store; web stops in the first, so its keys are gone from the table after the second."""
+    topic, path, checkpoint = (new_path(spark, x) for x in ("expiry-topic", "expiry-online", "expiry-checkpoint"))
+    features = stage(_features(spark, sf_dir), "expiry-features")
+    early = F.col("window_end") <= _at("2024-01-01 02:00:00")
+    for part in (features.filter(early), features.filter(~early & (F.col("platform") != "web"))):
+        clickstream.to_raw_features(part).write.mode("append").text(topic)
+        writer = expiry.expiring_writer(file_stream(spark, topic), path, ttl_seconds=3600)
+        jobs.run(writer, checkpoint, available_now=True).awaitTermination()
+    return _doubles(_iso(online_store.read_online(spark, path), "event_timestamp"), "ctr_avg", "bounce_rate_avg")
+
+
 def _ingested(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """(table, quarantine) after one run of the ingest job."""
     table, bad = new_path(spark, "event-table"), new_path(spark, "quarantine")

@@ -420,6 +420,41 @@ GROUP BY w
 """
 
 
+# --- sampled counters: read every minute, restarted at the full hour ---------------------------------------
+cte("counter_samples", "clicks", """
+SELECT instance, le, minute + INTERVAL 1 minute AS read_at,
+  sum(n) OVER (PARTITION BY instance, le, date_trunc('hour', minute) ORDER BY minute) AS value
+FROM (SELECT (user_id % 3)::int AS instance, b.le, date_trunc('minute', ts) AS minute, count(*) FILTER (WHERE seconds <= b.le) AS n
+      FROM clicks CROSS JOIN (SELECT unnest([0.01, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0, 'Infinity'::double]) AS le) b GROUP BY ALL)
+""")
+cte("counter_gains", "counter_samples", """
+SELECT instance, le, time_bucket(INTERVAL 5 minutes, read_at) AS w,
+  (CASE WHEN before IS NULL THEN 0 WHEN value < before THEN value ELSE value - before END)::bigint AS increase
+FROM (SELECT *, lag(value) OVER (PARTITION BY instance, le ORDER BY read_at) AS before FROM counter_samples)
+""")
+COUNTER_P95 = f"""
+SELECT {iso("w")} AS window_start, max(observations)::bigint AS observations,
+  round(arg_min(CASE WHEN le = 'Infinity'::double THEN low ELSE low + (le - low) * (0.95::double * observations - below) / (upto - below)::double END, le), 9) AS quantile
+FROM (SELECT w, le, upto, coalesce(lag(le) OVER bounds, 0.0) AS low, coalesce(lag(upto) OVER bounds, 0) AS below, max(upto) OVER (PARTITION BY w) AS observations
+  FROM (SELECT w, le, sum(increase)::bigint AS upto FROM counter_gains GROUP BY w, le) WINDOW bounds AS (PARTITION BY w ORDER BY le))
+WHERE observations > 0 AND upto >= 0.95::double * observations
+GROUP BY w
+"""
+OPEN_WINDOWS = f"""
+SELECT {iso("make_timestamp((ws + 300) * 1000000)")} AS window_end, geo, platform, count(*) AS event_count
+FROM (SELECT *, (epoch_us(ts) // 60000000) * 60 - 60 * o AS ws FROM arrivals CROSS JOIN range(5) r(o) WHERE run <= 2)
+WHERE make_timestamp((ws + 300) * 1000000) > (SELECT max(ts) FROM arrivals WHERE run <= 2) - INTERVAL 30 seconds
+GROUP BY ws, geo, platform
+"""
+# web has no rows after 02:00, and an hour after its newest row a key is gone
+UNEXPIRED = f"""
+WITH told AS (SELECT * REPLACE (rtrim(window_end, 'Z')::timestamp AS window_end) FROM lenient_messages WHERE window_end LIKE '%Z'),
+kept AS (SELECT * FROM told WHERE platform <> 'web' OR window_end <= TIMESTAMP '2024-01-01 02:00:00')
+SELECT * REPLACE ({iso("event_timestamp")} AS event_timestamp) FROM ({ONLINE.format(source="kept")})
+WHERE event_timestamp + INTERVAL 1 hour > (SELECT max(window_end) FROM kept) - INTERVAL 30 seconds
+"""
+
+
 ORACLE: dict[str, str] = {
     "sliding_features": sql("features", f"SELECT {WINDOW_COLUMNS} FROM features"),
     "tumbling_features": sql("tumbling", f"SELECT {WINDOW_COLUMNS} FROM tumbling"),
@@ -525,6 +560,10 @@ SELECT round(auc, 9) AS roc_auc FROM ({auc('scored')})""",
     "stream_sliding_features": sql("subset subset_features", f"SELECT {WINDOW_COLUMNS} FROM subset_features WHERE subset_features.window_end <= (SELECT max(ts) FROM subset) - INTERVAL 30 seconds"),
     "stream_late_events": sql("arrivals late_windows", f"""
 SELECT {WINDOW_COLUMNS} FROM late_windows WHERE late_windows.window_end <= (SELECT max(ts) FROM arrivals) - INTERVAL 30 seconds"""),
+    "stream_open_windows": sql("arrivals", OPEN_WINDOWS),
+    "stream_online_expiry": sql("lenient_messages", f"SELECT * FROM ({UNEXPIRED})"),
+    "counter_served_rate": sql("counter_gains", f"SELECT {iso('w')} AS window_start, instance, round(sum(increase) / 300.0::double, 9) AS per_second FROM counter_gains WHERE le = 'Infinity'::double GROUP BY w, instance"),
+    "counter_latency_p95": sql("counter_gains", COUNTER_P95),
     "stream_quarantine": sql("raw checked", "SELECT value, failed_rules FROM checked JOIN raw USING (event_id) WHERE failed_rules <> ''"),
     "stream_table_ingest": sql("table_rows", 'SELECT * EXCLUDE (event_id) REPLACE (epoch_us("timestamp") AS "timestamp") FROM table_rows'),
     "stream_online_latest": sql("lenient_messages", f"SELECT * REPLACE ({iso('event_timestamp')} AS event_timestamp) FROM (" + ONLINE.format(

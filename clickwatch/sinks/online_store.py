@@ -6,6 +6,8 @@ never meets another's files. `compact`, run on a schedule, writes a snapshot
 of all that is there; the log folders a snapshot covers are removed by the compaction
 after it, so that readers that listed them meanwhile still find them. Readers take the
 newest row per key over snapshots and log, which is right before, during and after a compaction.
+An expired key has a tombstone (`gone`), dated after its last row, which readers leave out; a
+compaction keeps it, since the folders it covers are still there.
 """
 
 from __future__ import annotations
@@ -13,24 +15,32 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickwatch.operators.feature_store import latest_per_key
 from clickwatch.schemas import ONLINE_FEATURE
 
 QUERY_ID = "sql.streaming.queryId"
+_LOGGED = T.StructType([*ONLINE_FEATURE.fields, T.StructField("gone", T.BooleanType())])
 
 
 def upsert(rows: DataFrame, batch_id: int, root: str) -> None:
     query = rows.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or "batch"
-    newest = latest_per_key(rows, "event_timestamp").select(*ONLINE_FEATURE.fieldNames())
+    gone = [] if "gone" in rows.columns else [F.lit(False).alias("gone")]
+    newest = latest_per_key(rows.select("*", *gone), "event_timestamp").select(*_LOGGED.fieldNames())
     newest.write.mode("overwrite").parquet(f"{root}/log/{query}/{batch_id}")
 
 
-def read_online(spark: SparkSession, root: str) -> DataFrame:
-    log = spark.read.schema(ONLINE_FEATURE).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(root)
+def _newest(spark: SparkSession, root: str) -> DataFrame:
+    log = spark.read.schema(_LOGGED).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(root)
     return latest_per_key(log, "event_timestamp")
 
 
+def read_online(spark: SparkSession, root: str) -> DataFrame:
+    return _newest(spark, root).filter(~F.coalesce("gone", F.lit(False))).drop("gone")
+
+
 def _folders(spark: SparkSession, root: str) -> tuple[object, list[str]]:
     """(file system, all batch and snapshot folders)."""
     jvm = spark.sparkContext._jvm
@@ -50,7 +60,7 @@ def compact(spark: SparkSession, root: str) -> None:
     earlier = files.exists(jvm.org.apache.hadoop.fs.Path(done))
     old = [r.value for r in spark.read.text(done).collect()] if earlier else []  # folder names of one compaction
     snapshot = f"{root}/snapshot/{time.time_ns()}"
-    read_online(spark, root).write.parquet(snapshot)
+    _newest(spark, root).write.parquet(snapshot)
     for folder in set(old) & set(covered):
         files.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
     names = spark.createDataFrame([(f,) for f in covered if f not in old], "value STRING")

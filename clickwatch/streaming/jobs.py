@@ -21,7 +21,7 @@ from clickwatch.operators.dataset import SERVING, Preprocessing
 from clickwatch.operators.feature_store import latest_online
 from clickwatch.operators.forest import Scorer
 from clickwatch.operators.scoring import alerts, flagged, scored
-from clickwatch.operators.windows import as_messages, window_features
+from clickwatch.operators.windows import KEYS, as_messages, window_features
 from clickwatch.schemas import FEATURE_MESSAGE, LENIENT_FEATURE_MESSAGE
 from clickwatch.sinks import online_store
 from clickwatch.sinks.files import LAKE_PARTITIONS, lake_rows
@@ -44,6 +44,12 @@ def feature_stream(raw: DataFrame, delay: str = C.WATERMARK_DELAY) -> DataFrame:
     return as_messages(window_features(timed, C.WINDOW_SIZE, C.WINDOW_SLIDE))
 
 
+def window_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Open windows of the window job, from the state its next run starts from: window_end, keys, event_count."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(F.col("key.window.end").alias("window_end"), *[f"key.{k}" for k in KEYS], F.col("value.count").alias("event_count"))
+
+
 # --- events to table and lake --------------------------------------------------------
 
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,3 +59,22 @@ def test_cumulative_histogram(spark):
     df = spark.createDataFrame([(0.05,), (0.1,), (0.7,), (50.0,)], "anomaly_score DOUBLE")
     rows = {r.le: r["rows"] for r in monitoring.score_histogram(df).collect()}
     assert rows["0.0"] == 0 and rows["0.1"] == 2 and rows["1.0"] == 3 and rows["10.0"] == 3 and rows["+Inf"] == 4
+
+
+def test_counters_that_restart(spark):
+    """Gains over samples: a drop is a restart, the first sample gains nothing, series do not mix."""
+    samples = spark.createDataFrame(
+        [("a", 0, 10), ("a", 60, 15), ("a", 120, 4), ("a", 180, 4), ("a", 300, 10), ("b", 30, 100), ("b", 90, 101)],
+        "instance STRING, s INT, value BIGINT",
+    ).withColumn("at", F.timestamp_seconds("s"))
+    gained = monitoring.counter_increases(samples, ["instance"])
+    assert [(r.instance, r.s, r.increase) for r in gained.orderBy("instance", "s").collect()] == [
+        ("a", 0, 0), ("a", 60, 5), ("a", 120, 4), ("a", 180, 0), ("a", 300, 6), ("b", 30, 0), ("b", 90, 1)
+    ]
+    rate = monitoring.counter_rate(samples, ["instance"], ["instance"])
+    assert sorted(r.per_second for r in rate.collect()) == [1 / 300, 6 / 300, 9 / 300]
+    buckets = [(le, s, v) for s, values in ((0, (0, 0, 0)), (60, (2, 6, 8)), (360, (1, 1, 1)), (420, (1, 1, 1))) for le, v in zip((1.0, 2.0, math.inf), values)]
+    frame = spark.createDataFrame(buckets, "le DOUBLE, s INT, value BIGINT").withColumn("at", F.timestamp_seconds("s"))
+    found = {r.observations: r.quantile for r in monitoring.bucket_quantile(frame, [], 0.5).collect()}
+    assert found == {8: 1.5, 1: 0.5}
+    assert {r.observations: r.quantile for r in monitoring.bucket_quantile(frame, [], 0.9).collect()}[8] == 2.0

@@ -181,3 +181,33 @@ def test_lag_listener(spark):
     seen = []
     jobs.LagListener(seen.extend).onQueryProgress(Event)
     assert seen == [("ingest", "t", 0, 8, 5, 3), ("ingest", "t", 1, 9, 9, 0)]
+
+
+def test_expired_keys_leave_state_and_table(spark, tmp_path):
+    """Of two keys one goes on; once the watermark is past the other's time to live it is in neither."""
+    from clickwatch.streaming import expiry
+
+    topic, root, checkpoint = (str(tmp_path / n) for n in ("topic", "online", "checkpoint"))
+    line = (
+        '{"window_start": "2024-01-01T%s:00Z", "window_end": "2024-01-01T%s:00Z", "geo": "US", "platform": "%s", '
+        '"ctr_avg": 0.1, "bounce_rate_avg": 0.2, "event_count": %d}'
+    )
+
+    def run(*rows):
+        spark.createDataFrame([(line % r,) for r in rows], "value STRING").write.mode("append").text(topic)
+        writer = expiry.expiring_writer(file_stream(spark, topic), root, ttl_seconds=600)
+        jobs.run(writer, checkpoint, available_now=True).awaitTermination()
+        state = spark.read.format("statestore").option("stateVarName", expiry.STATE).load(checkpoint)
+        held = {r.platform for r in state.select("key.platform").collect()}
+        table = {r.platform: r.event_count for r in online_store.read_online(spark, root).collect()}
+        assert held == set(table)
+        return table
+
+    assert run(("00:00", "00:05", "web", 1), ("00:00", "00:05", "ios", 2), ("00:01", "00:06", "ios", 3)) == {"web": 1, "ios": 3}
+    assert run(("00:05", "00:10", "ios", 4)) == {"web": 1, "ios": 4}
+    assert run(("00:15", "00:20", "ios", 5)) == {"ios": 5}
+    online_store.compact(spark, root)
+    online_store.compact(spark, root)
+    assert run(("00:15", "00:20", "web", 6)) == {"web": 6, "ios": 5}
+    # older than the time to live when it comes
+    assert run(("00:35", "00:40", "ios", 7), ("00:10", "00:15", "android", 8)) == {"ios": 7}
