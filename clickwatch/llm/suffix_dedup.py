@@ -49,7 +49,7 @@ from clickwatch.session import stage, use_all_cores
 class Repeats:
     length: int = 100
     gram: int = 24
-    block_bytes: int = 1 << 19
+    block_bytes: int = 1 << 18
     often: int = 1024  # an anchor met more often is split
 
 
@@ -155,19 +155,28 @@ def runs(texts: list[bytes], how: Repeats) -> Iterator[tuple[np.ndarray, ...]]:
 
 
 def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
-    """Rotations of `data` in the order of at least their first `depth` bytes."""
+    """Rotations of `data` in the order of at least their first `depth` bytes.
+
+    Sorted by eight bytes, then by twice as many each round; only rotations not yet told apart are sorted again.
+    """
     n = len(data)
     padded = np.concatenate([data, np.resize(data, 8)])
     keys = np.lib.stride_tricks.as_strided(padded, (n, 8), (1, 1)).copy().view(">u8")[:, 0].astype(np.uint64)
-    known = 8
+    order, known = np.argsort(keys), 8
+    keys, rows = keys[order], np.arange(n)
+    rank = np.empty(n, np.int64)  # the first row of the rotations equal so far
     while True:
-        order = np.argsort(keys)
-        ordered = keys[order]
-        if known >= depth:
+        new = np.append(True, keys[1:] != keys[:-1])
+        rank[order[rows]] = rows[np.flatnonzero(new)][np.cumsum(new) - 1]
+        alike = ~new
+        alike[:-1] |= ~new[1:]
+        rows = rows[alike]
+        if known >= depth or not len(rows):
             return order
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.append(False, ordered[1:] != ordered[:-1]))
-        keys = rank * n + np.roll(rank, -known)
+        tied = order[rows]
+        keys = rank[tied] * n + rank[(tied + known) % n]
+        again = np.argsort(keys)
+        order[rows], keys = tied[again], keys[again]
         known *= 2
 
 
@@ -191,6 +200,9 @@ def seen_borders(transform: np.ndarray, length: int) -> np.ndarray:
     border[high] = True
     for _ in range(1, length):
         size = high - low
+        lone = low[size == 1]  # one row: one byte before it
+        lone = step[lone[transform[lone] != _BORDER]]
+        low, high, size = low[size > 1], high[size > 1], size[size > 1]
         rows, of = _expanded(low, size), np.repeat(np.arange(len(low)), size)
         byte = transform[rows]
         # every different byte before an interval once, by its first and by its last row
@@ -199,6 +211,7 @@ def seen_borders(transform: np.ndarray, length: int) -> np.ndarray:
         kind = of * 256 + byte
         begin = step[rows[first][np.argsort(kind[first], kind="stable")]]
         end = step[rows[last][np.argsort(kind[last], kind="stable")]] + 1
+        begin, end = np.concatenate([begin, lone]), np.concatenate([end, lone + 1])
         new = ~border[end]
         low, high = begin[new], end[new]
         if not len(low):
