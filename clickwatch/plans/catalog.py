@@ -30,7 +30,7 @@ from clickwatch.sinks.tables import append_batch, read_batches
 from clickwatch.sinks.topics import as_json, file_topic_writer
 from clickwatch.sources import clickstream
 from clickwatch.sources.tables import read_offline
-from clickwatch.streaming import expiry, jobs
+from clickwatch.streaming import expiry, jobs, metrics
 from clickwatch.streaming.sources import file_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -799,6 +799,27 @@ def stream_quarantine(spark, sf_dir):
     return bad.select("value", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+@query
+def stream_observed_counts(spark, sf_dir):
+    """Quality counts of the ingest job as its micro-batches reported them."""
+    root, table, bad = (new_path(spark, x) for x in ("observed", "event-table", "quarantine"))
+    topic = new_path(spark, "event-topic")
+    raw = stage(clickstream.raw_events(spark, sf_dir).select("value"), "raw-lines")
+    raw.write.text(topic)
+    listener = metrics.ObservedMetrics(spark, root)
+    spark.streams.addListener(listener)
+    try:
+        checked = jobs.checked_events(file_stream(spark, topic, files_per_batch=1), "ingest")
+        writer = jobs.ingest_writer(checked, lambda rows, n: append_batch(rows, n, table), lambda rows, n: append_batch(rows, n, bad))
+        run = jobs.run(writer, new_path(spark, "checkpoint"), available_now=True)
+        run.awaitTermination()
+        listener.wait(run)
+    finally:
+        spark.streams.removeListener(listener)
+    counts = metrics.observed_totals(metrics.read_observed(spark, root), "ingest").groupBy().pivot("metric", ["processed", "valid", "invalid"])
+    return counts.agg(F.first("total"))
+
+
 @query
 def stream_online_latest(spark, sf_dir):
     path = new_path(spark, "online")

@@ -560,6 +560,7 @@ SELECT round(auc, 9) AS roc_auc FROM ({auc('scored')})""",
     "stream_sliding_features": sql("subset subset_features", f"SELECT {WINDOW_COLUMNS} FROM subset_features WHERE subset_features.window_end <= (SELECT max(ts) FROM subset) - INTERVAL 30 seconds"),
     "stream_late_events": sql("arrivals late_windows", f"""
 SELECT {WINDOW_COLUMNS} FROM late_windows WHERE late_windows.window_end <= (SELECT max(ts) FROM arrivals) - INTERVAL 30 seconds"""),
+    "stream_observed_counts": sql("checked", "SELECT count(*) AS processed, count(*) FILTER (WHERE failed_rules = '') AS valid, count(*) FILTER (WHERE failed_rules <> '') AS invalid FROM checked"),
     "stream_open_windows": sql("arrivals", OPEN_WINDOWS),
     "stream_online_expiry": sql("lenient_messages", f"SELECT * FROM ({UNEXPIRED})"),
     "counter_served_rate": sql("counter_gains", f"SELECT {iso('w')} AS window_start, instance, round(sum(increase) / 300.0::double, 9) AS per_second FROM counter_gains WHERE le = 'Infinity'::double GROUP BY w, instance"),

@@ -211,3 +211,27 @@ def test_expired_keys_leave_state_and_table(spark, tmp_path):
     assert run(("00:15", "00:20", "web", 6)) == {"web": 6, "ios": 5}
     # older than the time to live when it comes
     assert run(("00:35", "00:40", "ios", 7), ("00:10", "00:15", "android", 8)) == {"ios": 7}
+
+
+def test_observed_counts_of_every_batch(spark, tmp_path):
+    """A row per batch and metric; batches of a second run are added, none is counted twice."""
+    from clickwatch.streaming import metrics
+
+    topic, root, checkpoint, table, bad = (str(tmp_path / n) for n in ("topic", "observed", "checkpoint", "table", "bad"))
+    listener = metrics.ObservedMetrics(spark, root)
+    spark.streams.addListener(listener)
+    try:
+        for times in (["10:30:10", "10:31:00"], ["10:32:00"]):
+            lines = [(_event(t, 0.02),) for t in times] + [("{broken",)]
+            spark.createDataFrame(lines, "value STRING").coalesce(1).write.mode("append").text(topic)
+            checked = jobs.checked_events(file_stream(spark, topic))
+            writer = jobs.ingest_writer(checked, lambda r, n: append_batch(r, n, table), lambda r, n: append_batch(r, n, bad))
+            query = jobs.run(writer, checkpoint, available_now=True)
+            query.awaitTermination()
+            listener.wait(query)
+    finally:
+        spark.streams.removeListener(listener)
+    observed = metrics.read_observed(spark, root)
+    assert observed.select("batch_id").distinct().count() == 2
+    totals = {r.metric: r.total for r in metrics.observed_totals(observed, "ingest").collect()}
+    assert totals == {"processed": 5, "valid": 3, "invalid": 2}
