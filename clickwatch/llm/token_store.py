@@ -226,6 +226,13 @@ def _encoder(path: str) -> _Encoder:
     return _Encoder(path)
 
 
+def _release() -> None:
+    """Give back what encoding held in this worker; the tasks that index and read have no use for it."""
+    _encoder.cache_clear()
+    _tokenizer.cache_clear()
+    pa.default_memory_pool().release_unused()
+
+
 def encoded(texts: Iterable[str | None], layout: Layout) -> Iterator[bytes]:
     """The ids of every text and the end id, in the store's width."""
     encoder = _encoder(layout.tokenizer)
@@ -418,6 +425,7 @@ def write_store(docs: DataFrame, layout: Layout, key: str = "doc_id", text: str
     hashed = hashed.withColumn("bucket", _bucket(buckets))
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
+        _release()
         bucket, name = int(frame["bucket"].iloc[0]), f"{frame['bucket'].iloc[0]:06d}-{uuid.uuid4().hex}.mph"
         frame = frame.sort_values(["h1", "h2"])
         data = build_index(
@@ -441,6 +449,7 @@ def read_documents(keys: DataFrame, store: Store, key: str = "doc_id") -> DataFr
 
     def search(frame: pd.DataFrame) -> pd.DataFrame:
         """Runs of rows, cut at shard ends."""
+        _release()
         store = shared.value
         name = store.index[int(frame["bucket"].iloc[0])]
         if not name:
@@ -459,6 +468,7 @@ def read_documents(keys: DataFrame, store: Store, key: str = "doc_id") -> DataFr
         )
 
     def read(frame: pd.DataFrame) -> pd.DataFrame:
+        _release()
         store = shared.value
         shard = int(frame["shard"].iloc[0])
         ids = np.frombuffer(_read(store.root, f"{store.shards[shard]}.ids"), f"<u{store.width}")
