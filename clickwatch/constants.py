@@ -19,6 +19,7 @@ CHECKPOINT_INTERVAL = "60 seconds"
 LAKE_BATCH_ROWS = 100
 LAKE_FILE_ROWS = 1_000_000
 LAKE_BATCH_INTERVAL = "60 seconds"
+LAKE_BATCH_SECONDS = 60
 ONLINE_TTL = "3 days"
 ONLINE_TTL_SECONDS = 259_200
 CTR_DIGITS = 4

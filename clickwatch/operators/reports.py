@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from clickwatch.functions.scalars import to_units
 
@@ -61,6 +62,42 @@ def recent_events(events: DataFrame, as_of: Column, hours: int = 24, newest_firs
     return recent.orderBy(F.desc("ts")) if newest_first else recent
 
 
+def report(events: DataFrame, recent: int = 5, daily: int = 10) -> DataFrame:
+    """The whole report as one table: section, position in it, and the columns the section has.
+
+    Sections `total`, `daily` (newest dates first) and `geo` (busiest first) come from one scan with grouping sets;
+    `recent` takes a bounded heap per task from a scan of its own columns. An empty table has only its zero total.
+    """
+    one = events.select(
+        F.to_date("ts").alias("date"), "geo", "platform", "ctr", "bounce_rate", "cpc", "conversion", F.lit(1).alias("one")
+    )
+    # grouping sets of no rows have no total; this row counts nothing and makes one
+    nothing = events.sparkSession.range(1).select(F.lit(0).alias("one"))
+    level = F.grouping_id("date", "geo", "platform")
+    sums = (
+        one.unionByName(nothing, allowMissingColumns=True)
+        .groupingSets([["date", "geo", "platform"], ["geo"], []], "date", "geo", "platform")
+        .agg(
+            level.alias("level"),
+            F.sum("one").alias("events"),
+            _mean("ctr", 4).alias("avg_ctr"),
+            _mean("bounce_rate", 3).alias("avg_bounce_rate"),
+            _mean("cpc", 3).alias("avg_cpc"),
+            F.sum("conversion").alias("total_conversions"),
+        )
+    )
+    section = F.when(F.col("level") == 0, "daily").when(F.col("level") == 7, "total").otherwise("geo")
+    kept = sums.filter((F.col("events") > 0) | (F.col("level") == 7)).withColumn("section", section)
+    busiest = F.when(F.col("section") == "geo", -F.col("events"))
+    order = Window.partitionBy("section").orderBy(F.desc("date"), busiest, "geo", "platform")
+    ranked = kept.withColumn("position", F.row_number().over(order))
+    sections = ranked.filter((F.col("section") != "daily") | (F.col("position") <= daily)).drop("level")
+    newest = Window.orderBy(F.desc("ts"), F.desc("event_id"))
+    latest = events.select("event_id", "ts", "geo", "platform").orderBy(F.desc("ts"), F.desc("event_id")).limit(recent)
+    latest = latest.select(F.lit("recent").alias("section"), F.row_number().over(newest).alias("position"), "*")
+    return sections.unionByName(latest, allowMissingColumns=True)
+
+
 def overview(events: DataFrame) -> dict[str, DataFrame]:
     """The whole report; an empty table has only its zero count."""
     total = total_events(events)

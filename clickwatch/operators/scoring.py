@@ -24,9 +24,9 @@ def scorable(rows: DataFrame) -> DataFrame:
     return rules.keep_valid(rows, rules.score_input_rules())
 
 
-def scored(rows: DataFrame, scorer: Scorer, params: Preprocessing = SERVING) -> DataFrame:
+def scored(rows: DataFrame, scorer: Scorer, params: Preprocessing = SERVING, in_jvm: bool = False) -> DataFrame:
     """Scorable rows with `anomaly_score`; their columns stay."""
-    return with_scores(serving_inputs(scorable(rows), params), scorer).drop(*MODEL_COLUMNS)
+    return with_scores(serving_inputs(scorable(rows), params), scorer, in_jvm).drop(*MODEL_COLUMNS)
 
 
 def flagged(scores: DataFrame, threshold: float) -> DataFrame:

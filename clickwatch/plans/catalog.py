@@ -6,6 +6,7 @@ doubles rounded to 9 digits, so that results compare across engines.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ from clickwatch import constants as C
 from clickwatch.functions import rules
 from clickwatch.functions.scalars import pseudonymous_id
 from clickwatch.functions.timefmt import iso_utc
-from clickwatch.operators import dataset, evaluation, feature_store, forest, monitoring, ordering, reports, scoring
+from clickwatch.operators import dataset, evaluation, feature_store, forest, monitoring, ordering, reports, scoring, sketches
 from clickwatch.operators.dataset import MODEL_COLUMNS, SERVING, Dataset
 from clickwatch.operators.forest import Scorer
 from clickwatch.operators.training import flag_with_model, train_model
@@ -25,12 +26,12 @@ from clickwatch.plans.fixed_forest import node_rows
 from clickwatch.schemas import CLICKSTREAM_TABLE, FEATURE_MESSAGE, LENIENT_FEATURE_MESSAGE, struct
 from clickwatch.session import new_path, stage
 from clickwatch.sinks import online_store
-from clickwatch.sinks.files import LAKE_PARTITIONS, write_lake, write_offline
+from clickwatch.sinks.files import LAKE_PARTITIONS, lake_rows, write_lake, write_offline
 from clickwatch.sinks.tables import append_batch, read_batches
 from clickwatch.sinks.topics import as_json, file_topic_writer
 from clickwatch.sources import clickstream
 from clickwatch.sources.tables import read_offline
-from clickwatch.streaming import expiry, jobs, metrics
+from clickwatch.streaming import expiry, flushing, jobs, metrics
 from clickwatch.streaming.sources import file_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -259,6 +260,12 @@ def recent_events(spark, sf_dir):
     return _doubles(_micros(recent, "ts"), "cpc", "ctr", "bounce_rate")
 
 
+@query
+def report(spark, sf_dir):
+    found = reports.report(clickstream.clicks(spark, sf_dir)).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+    return _rounded(_micros(found, "ts"), "avg_ctr", "avg_bounce_rate", "avg_cpc")
+
+
 # --- feature store ---------------------------------------------------------------------------------
 
 
@@ -352,6 +359,27 @@ def materialize_incremental(spark, sf_dir):
     return _doubles(_iso(new, "event_timestamp"), "ctr_avg", "bounce_rate_avg")
 
 
+@query
+def materialize_since_last_run(spark, sf_dir):
+    """Three runs, one of them twice; each starts where the one before it is known to have ended."""
+    features, path = _feature_table(spark, sf_dir), new_path(spark, "materialized")
+    first = 1_704_067_200_000_000  # 2024-01-01, microseconds
+    for minutes in (120, 195, 195, 270):
+        online_store.materialize_next(features, path, first + minutes * 60_000_000)
+    return _doubles(_iso(online_store.read_online(spark, path), "event_timestamp"), "ctr_avg", "bounce_rate_avg")
+
+
+@query
+def sketched_quantiles(spark, sf_dir):
+    """Quantiles of a value over all days from stored daily sketches, and whether their true ranks are near enough."""
+    clicks, path = clickstream.clicks(spark, sf_dir), new_path(spark, "sketches")
+    values = clicks.select(F.to_date("ts").alias("ingest_date"), "cpc")
+    sketches.write_sketches(sketches.daily_sketches(values, "cpc"), path)
+    found = sketches.merged_quantiles(sketches.read_sketches(spark, path), (0.02, 0.25, 0.5, 0.98))
+    told = sketches.with_rank_gap(found, values, "cpc")
+    return told.select("p", "days", "rows", (F.col("rank_gap") <= 2 * sketches.rank_error()).alias("near"))
+
+
 # --- dataset -------------------------------------------------------------------------------------------
 
 
@@ -474,6 +502,13 @@ def fixed_forest_scores(spark, sf_dir):
     return _rounded(_iso(scores.select("window_end", *KEYS, "anomaly_score"), "window_end"), "anomaly_score")
 
 
+@query
+def fixed_forest_scores_jvm(spark, sf_dir):
+    """The same scores without a Python worker."""
+    scores = scoring.scored(_features(spark, sf_dir), _fixed_scorer(spark), in_jvm=True)
+    return _rounded(_iso(scores.select("window_end", *KEYS, "anomaly_score"), "window_end"), "anomaly_score")
+
+
 @query
 def contamination_flags(spark, sf_dir):
     scores = _fixed_scores(spark, sf_dir)
@@ -820,6 +855,28 @@ def stream_observed_counts(spark, sf_dir):
     return counts.agg(F.first("total"))
 
 
+@query
+def stream_lake_flushes(spark, sf_dir):
+    """Lines of every hour after two runs of the buffered lake: nothing lost or doubled, no file above its size.
+
+    Between the runs what is left waits its time; the second run brings one line of another year.
+    """
+    topic, path, checkpoint = (new_path(spark, x) for x in ("flush-topic", "flush-lake", "flush-checkpoint"))
+    valid = rules.keep_valid(clickstream.parse_events(clickstream.raw_events(spark, sf_dir), keep_text=True), rules.click_event_rules())
+    lines = stage(valid.select("value"), "flush-lines")
+    later = lines.limit(1).select(F.regexp_replace("value", '"timestamp":"2024', '"timestamp":"2023').alias("value"))
+    for part in (lines, later):
+        part.write.mode("append").text(topic)
+        checked = jobs.checked_events(file_stream(spark, topic))
+        timed = lake_rows(clickstream.to_table_rows(checked.filter(F.size("failed_rules") == 0)))
+        flushing.run_once(spark, flushing.flush_writer(timed, path, wait_seconds=1), checkpoint)
+        time.sleep(1.5)
+    files = flushing.read_flushes(spark, path).filter(F.col("y") == "2024").groupBy(*LAKE_PARTITIONS, "lane", "flush", "cause")
+    files = files.agg(F.count(F.lit(1)).alias("n"))
+    fits = F.when(F.col("cause") == "size", F.col("n") == C.LAKE_BATCH_ROWS).otherwise(F.col("n") < C.LAKE_BATCH_ROWS)
+    return files.groupBy(*LAKE_PARTITIONS).agg(F.sum("n").alias("events"), F.bool_and(fits).alias("sizes_fit"))
+
+
 @query
 def stream_online_latest(spark, sf_dir):
     path = new_path(spark, "online")

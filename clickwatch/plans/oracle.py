@@ -454,6 +454,19 @@ SELECT * REPLACE ({iso("event_timestamp")} AS event_timestamp) FROM ({ONLINE.for
 WHERE event_timestamp + INTERVAL 1 hour > (SELECT max(window_end) FROM kept) - INTERVAL 30 seconds
 """
 
+REPORT = f"""
+SELECT * FROM (WITH stats AS (
+  SELECT CASE WHEN grouping(geo) = 1 THEN 'total' WHEN grouping(date) = 1 THEN 'geo' ELSE 'daily' END AS section, date, geo, platform,
+    count(*) AS events, {MEANS}, sum(conversion)::bigint AS total_conversions
+  FROM (SELECT *, strftime(clicks.ts, '%Y-%m-%d') AS date FROM clicks) GROUP BY GROUPING SETS ((date, geo, platform), (geo), ())),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY section ORDER BY date DESC, CASE WHEN section = 'geo' THEN -events END, geo, platform) AS position FROM stats)
+SELECT section, position, date, geo, platform, events, avg_ctr, avg_bounce_rate, avg_cpc, total_conversions, NULL AS event_id, NULL AS ts
+FROM ranked WHERE section <> 'daily' OR position <= 10
+UNION ALL
+SELECT 'recent', row_number() OVER (ORDER BY t DESC, event_id DESC), NULL, geo, platform, NULL, NULL, NULL, NULL, NULL, event_id, epoch_us(t)
+FROM (SELECT *, clicks.ts AS t FROM clicks ORDER BY clicks.ts DESC, event_id DESC LIMIT 5))
+"""
+
 
 ORACLE: dict[str, str] = {
     "sliding_features": sql("features", f"SELECT {WINDOW_COLUMNS} FROM features"),
@@ -492,6 +505,9 @@ FROM (SELECT event_id, p.geo, p.platform, o.* EXCLUDE (geo, platform), event_tim
     "asof_features_short_ttl": asof("30 seconds"),
     "asof_features_altered": asof("2 minutes", "altered_features"),
     "materialize_incremental": sql("features", f"SELECT * REPLACE ({iso('event_timestamp')} AS event_timestamp) FROM (" + ONLINE.format(source="features WHERE window_end <= TIMESTAMP '2024-01-01 04:30:00'") + ")"),
+    "materialize_since_last_run": sql("features", f"SELECT * REPLACE ({iso('event_timestamp')} AS event_timestamp) FROM (" + ONLINE.format(source="features WHERE window_end <= TIMESTAMP '2024-01-01 04:30:00'") + ")"),
+    "sketched_quantiles": sql("clicks", "SELECT p::double AS p, count(DISTINCT clicks.ts::date) AS days, count(*) AS rows, true AS near FROM clicks, (VALUES (0.02), (0.25), (0.5), (0.98)) t(p) GROUP BY t.p"),
+    "report": sql("clicks", REPORT),
     "count_cap": sql("cap", "SELECT round(q, 9) AS quantile, round(cap, 9) AS cap FROM cap"),
     "prepared_features": sql("prepared", f"SELECT {END_KEYS}, {MODEL_ROUNDED} FROM prepared"),
     "time_split": sql("bounded", f"SELECT {END_KEYS}, CASE WHEN is_train THEN 'train' ELSE 'val' END AS split FROM bounded"),
@@ -511,6 +527,7 @@ GROUP BY ALL"""),
     "small_forest_nodes": sql("small_nodes", "SELECT tree_id::int AS tree_id, node_id::int AS node_id, feature::int AS feature, round(threshold, 9) AS threshold, size::int AS size, round(path_length, 9) AS path_length FROM small_nodes"),
     "small_forest_scores": sql("small_scores", f"SELECT {END_KEYS}, round(anomaly_score, 9) AS anomaly_score FROM small_scores"),
     "fixed_forest_scores": sql("fixed", f"SELECT {END_KEYS}, round(anomaly_score, 9) AS anomaly_score FROM fixed"),
+    "fixed_forest_scores_jvm": sql("fixed", f"SELECT {END_KEYS}, round(anomaly_score, 9) AS anomaly_score FROM fixed"),
     "contamination_flags": sql("fixed", f"""
 SELECT {END_KEYS}, round(-anomaly_score - off, 9) AS decision, -anomaly_score - off < 0 AS is_outlier
 FROM fixed, (SELECT quantile_cont(-anomaly_score, 0.02) AS off FROM (
@@ -567,6 +584,7 @@ SELECT {WINDOW_COLUMNS} FROM late_windows WHERE late_windows.window_end <= (SELE
     "counter_latency_p95": sql("counter_gains", COUNTER_P95),
     "stream_quarantine": sql("raw checked", "SELECT value, failed_rules FROM checked JOIN raw USING (event_id) WHERE failed_rules <> ''"),
     "stream_table_ingest": sql("table_rows", 'SELECT * EXCLUDE (event_id) REPLACE (epoch_us("timestamp") AS "timestamp") FROM table_rows'),
+    "stream_lake_flushes": sql("table_rows", """SELECT strftime("timestamp", '%Y') AS y, strftime("timestamp", '%m') AS m, strftime("timestamp", '%d') AS d, strftime("timestamp", '%H') AS h, count(*) AS events, true AS sizes_fit FROM table_rows GROUP BY 1, 2, 3, 4"""),
     "stream_online_latest": sql("lenient_messages", f"SELECT * REPLACE ({iso('event_timestamp')} AS event_timestamp) FROM (" + ONLINE.format(
         source="(SELECT * REPLACE (rtrim(window_end, 'Z')::timestamp AS window_end) FROM lenient_messages WHERE window_end LIKE '%Z')") + ")"),
     "stream_alerts": sql("scored_messages", "SELECT window_end AS ts, geo, platform, event_count, round(anomaly_score, 9) AS anomaly_score FROM scored_messages WHERE is_anomaly"),

@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickwatch.operators.feature_store import latest_per_key
+from clickwatch.operators.feature_store import latest_per_key, online_rows
 from clickwatch.schemas import ONLINE_FEATURE
 
+INTERVAL = "since BIGINT, until BIGINT"
 QUERY_ID = "sql.streaming.queryId"
 _LOGGED = T.StructType([*ONLINE_FEATURE.fields, T.StructField("gone", T.BooleanType())])
 
@@ -41,6 +42,40 @@ def read_online(spark: SparkSession, root: str) -> DataFrame:
     return _newest(spark, root).filter(~F.coalesce("gone", F.lit(False))).drop("gone")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def materialized_intervals(spark: SparkSession, root: str) -> DataFrame:
+    """Intervals (since, until] of window ends, in microseconds, that are in the table; since is NULL for the first."""
+    path = f"{root}/intervals"
+    if not _exists(spark, path):
+        return spark.createDataFrame([], INTERVAL)
+    return spark.read.schema(INTERVAL).option("recursiveFileLookup", "true").json(path)
+
+
+def materialize_next(features: DataFrame, root: str, as_of: int) -> bool:
+    """Take in the feature rows that ended since the last committed run and by `as_of` (microseconds).
+
+    The interval is committed after its rows are written, each under its end, so a run that was cut off is done
+    again from the same start and replaces its own rows; a run up to a time already reached does nothing. One
+    materialisation of a table runs at a time.
+    """
+    spark = features.sparkSession
+    since = materialized_intervals(spark, root).agg(F.max("until")).first()[0]
+    if since is not None and as_of <= since:
+        return False
+    ended = F.unix_micros("window_end")
+    fresh = features.filter(ended <= as_of) if since is None else features.filter((ended > since) & (ended <= as_of))
+    newest = latest_per_key(online_rows(fresh), "event_timestamp").withColumn("gone", F.lit(False))
+    newest.select(*_LOGGED.fieldNames()).write.mode("overwrite").parquet(f"{root}/log/materialized/{as_of}")
+    done = spark.createDataFrame([(since, as_of)], INTERVAL)
+    done.coalesce(1).write.mode("overwrite").json(f"{root}/intervals/{as_of}")
+    return True
+
+
 def _folders(spark: SparkSession, root: str) -> tuple[object, list[str]]:
     """(file system, all batch and snapshot folders)."""
     jvm = spark.sparkContext._jvm

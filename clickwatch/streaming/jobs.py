@@ -126,8 +126,8 @@ def online_writer(raw: DataFrame, root: str) -> DataStreamWriter:
 
 
 def alert_stream(raw: DataFrame, scorer: Scorer, threshold: float, params: Preprocessing = SERVING) -> DataFrame:
-    """Stateless: validate, score with the broadcast forest, keep flagged windows."""
-    return alerts(flagged(scored(parsed_features(raw, strict=True), scorer, params), threshold))
+    """Stateless: validate, score inside the JVM, keep flagged windows."""
+    return alerts(flagged(scored(parsed_features(raw, strict=True), scorer, params, in_jvm=True), threshold))
 
 
 # --- lag ------------------------------------------------------------------------------------

@@ -145,3 +145,28 @@ def test_asof_of_sparse_keys_and_a_long_ttl(spark):
     assert {r.id: r.event_count for r in found.collect()} == {r[0]: r[4] for r in asked}
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan and found.columns == [*rows.columns, "window_end", "ctr_avg", "bounce_rate_avg", "event_count"]
+
+
+def test_materialisation_remembers_where_it_ended(spark, tmp_path):
+    """A repeated run does nothing, a run that was cut off before its commit is made good, and gaps are not left."""
+    root = str(tmp_path / "online")
+    micros = lambda minute: int((BASE + dt.timedelta(minutes=minute)).timestamp()) * 1_000_000
+    features = _features(spark, [("US", "web", m) for m in range(10)] + [("IN", "ios", 2), ("IN", "ios", 7)])
+
+    def newest():
+        return {r.geo: r.event_count for r in online_store.read_online(spark, root).collect()}
+
+    assert online_store.materialized_intervals(spark, root).count() == 0
+    assert online_store.materialize_next(features, root, micros(3)) and newest() == {"US": 3, "IN": 2}
+    assert not online_store.materialize_next(features, root, micros(3))
+    assert not online_store.materialize_next(features, root, micros(1)) and newest() == {"US": 3, "IN": 2}
+    # rows are there, the commit is not: the same interval is taken in again
+    cut = features.filter(F.unix_micros("window_end") == micros(5))
+    feature_rows = feature_store.latest_online(cut).withColumn("gone", F.lit(False))
+    feature_rows.select("geo", "platform", "event_timestamp", "ctr_avg", "bounce_rate_avg", "event_count", "gone").write.parquet(f"{root}/log/materialized/{micros(6)}")
+    assert online_store.materialize_next(features, root, micros(6)) and newest() == {"US": 6, "IN": 2}
+    assert online_store.materialize_next(features, root, micros(100)) and newest() == {"US": 9, "IN": 7}
+    done = online_store.materialized_intervals(spark, root).orderBy("until").collect()
+    assert [tuple(r) for r in done] == [(None, micros(3)), (micros(3), micros(6)), (micros(6), micros(100))]
+    online_store.compact(spark, root)
+    assert newest() == {"US": 9, "IN": 7} and not online_store.materialize_next(features, root, micros(100))

@@ -109,3 +109,16 @@ def test_draws_are_rows_of_the_whole_table(train):
     assert rows.drop_duplicates().groupby("tree_id").size().eq(size).all()
     reached = len(rows.drop(columns="tree_id").drop_duplicates())
     assert reached > 0.9 * n * (1 - (1 - size / n) ** 40)
+
+
+@pytest.mark.parametrize("trees", [50, 1])
+def test_scores_inside_the_jvm(spark, train, nodes, trees):
+    """Equal to the vectorised descents, without a Python worker; single leaves and infinite thresholds too."""
+    scorer = forest.Scorer(nodes[nodes["tree_id"] < trees])
+    scored = forest.with_scores(train, scorer, in_jvm=True)
+    assert "Python" not in scored._jdf.queryExecution().executedPlan().toString()
+    got = scored.toPandas()
+    assert np.allclose(got["anomaly_score"], scorer.score(got[["ctr", "bounce", "log_count"]].to_numpy()), atol=1e-12)
+    leaf = forest.Scorer(nodes.head(1).assign(feature=-1, threshold=np.nan, size=5, path_length=2.0, node_id=0, tree_id=0))
+    flat = forest.with_scores(train.limit(3), leaf, in_jvm=True).toPandas()["anomaly_score"]
+    assert np.allclose(flat, leaf.score(np.zeros((3, 3))), atol=1e-12)

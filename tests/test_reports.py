@@ -78,3 +78,23 @@ def test_counters_that_restart(spark):
     found = {r.observations: r.quantile for r in monitoring.bucket_quantile(frame, [], 0.5).collect()}
     assert found == {8: 1.5, 1: 0.5}
     assert {r.observations: r.quantile for r in monitoring.bucket_quantile(frame, [], 0.9).collect()}[8] == 2.0
+
+
+def test_report_is_one_table(spark, sf_dir):
+    """Its parts equal the single reports; total, daily and geo share one scan, the newest events have their own."""
+    cl = clickstream.clicks(spark, sf_dir)
+    report = reports.report(cl, recent=3, daily=4)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and "TakeOrderedAndProject" in plan
+    rows = report.collect()
+    parts = {s: sorted((r for r in rows if r.section == s), key=lambda r: r.position) for s in ("total", "daily", "geo", "recent")}
+    assert sum(map(len, parts.values())) == len(rows) and [r.events for r in parts["total"]] == [cl.count()]
+    daily = reports.latest_daily_stats(cl, 4).collect()
+    assert [(r.date, r.geo, r.platform, r.events, r.avg_ctr) for r in parts["daily"]] == [(r.date, r.geo, r.platform, r.total_events, r.avg_ctr) for r in daily]
+    assert [(r.geo, r.events, r.avg_cpc) for r in parts["geo"]] == [(r.geo, r.event_count, r.avg_cpc) for r in reports.geo_stats(cl).collect()]
+    assert [r.event_id for r in parts["recent"]] == [r.event_id for r in reports.top_recent_events(cl, 3).collect()]
+
+
+def test_report_of_an_empty_table(spark, sf_dir):
+    rows = reports.report(clickstream.clicks(spark, sf_dir).limit(0)).collect()
+    assert [(r.section, r.position, r.events) for r in rows] == [("total", 1, 0)]

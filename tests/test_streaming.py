@@ -1,5 +1,6 @@
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -235,3 +236,32 @@ def test_observed_counts_of_every_batch(spark, tmp_path):
     assert observed.select("batch_id").distinct().count() == 2
     totals = {r.metric: r.total for r in metrics.observed_totals(observed, "ingest").collect()}
     assert totals == {"processed": 5, "valid": 3, "invalid": 2}
+
+
+def test_lines_are_flushed_by_size_and_by_time(spark, tmp_path):
+    """Five lines make two files of two at once; the fifth waits in the state over a restart until its time is over."""
+    from clickwatch.sinks.files import lake_rows
+    from clickwatch.streaming import flushing
+
+    topic, root, checkpoint = (str(tmp_path / n) for n in ("topic", "lake", "checkpoint"))
+
+    def run(*times):
+        spark.createDataFrame([(t,) for t in times], "value STRING").write.mode("append").text(topic)
+        lines = lake_rows(file_stream(spark, topic).withColumn("timestamp", F.col("value").cast("timestamp")))
+        flushing.run_once(spark, flushing.flush_writer(lines, root, rows=2, wait_seconds=0.5), checkpoint)
+        found = flushing.read_flushes(spark, root).groupBy("h", "flush", "cause").agg(F.sort_array(F.collect_list("value")).alias("v"))
+        held = spark.read.format("statestore").option("stateVarName", flushing.PROGRESS).load(checkpoint)
+        waiting = {r.h: r.waiting for r in held.select("key.h", "value.waiting").collect()}
+        return {(r.h, r.flush, r.cause): r.v for r in found.collect()}, waiting
+
+    at = [f"2024-01-01 10:00:0{i}" for i in range(5)]
+    files, waiting = run(*at)
+    assert {k: len(v) for k, v in files.items()} == {("10", 0, "size"): 2, ("10", 1, "size"): 2} and waiting == {"10": 1}
+    time.sleep(1)
+    files, waiting = run("2024-01-01 11:00:00")
+    assert {k: len(v) for k, v in files.items()} == {("10", 0, "size"): 2, ("10", 1, "size"): 2, ("10", 2, "time"): 1}
+    assert sorted(sum(files.values(), [])) == at and waiting == {"10": 0, "11": 1}
+    # the waiting line is the first of a file that is full before its time
+    files, waiting = run("2024-01-01 11:00:01", "2024-01-01 11:00:02", "2024-01-01 11:00:03")
+    lines = sorted(v for k, values in files.items() for v in values if k[0] == "11")
+    assert files["11", 0, "size"] and lines == [f"2024-01-01 11:00:0{i}" for i in range(4)] and waiting == {"10": 0, "11": 0}
