@@ -5,17 +5,20 @@ reported only if the candidate decodes and its inside parses:
 
 * `jwt`: `header.payload.signature`, header and payload are base64url JSON objects
   and the header names an `alg` (an empty signature only for `alg` none);
-* `pem`: a private-key armour whose body is base64 of DER, or of the OpenSSH
-  private-key format;
+* `pem`: a private-key armour whose body is base64 of DER, of the OpenSSH private-key
+  format, or a ciphertext whose length fits the cipher its headers name; lines may
+  end in a written-out backslash-n, as in JSON. A footer closes the header right
+  before it, so text is read once however many headers stay open;
 * `der`: a base64 or hex run that is one DER SEQUENCE of exactly its stated
   length, nested lengths adding up, with a key's shape (version INTEGER and further
-  integers, or an algorithm identifier with an object identifier);
-* `ssh`: a base64 run in SSH wire form: length-prefixed fields that fill the blob
-  exactly, the first naming a key type.
+  integers, or an algorithm identifier with an object identifier and an octet string);
+* `pub`: a public key, no secret itself but a pointer to one: DER of algorithm and bits, or
+  SSH wire form (length-prefixed fields that fill the blob exactly, the first naming a
+  key type).
 
 Spans are code points, end exclusive. A structural span that equals another of the
 same kind is reported once; kinds may overlap (a hex run may be `hex` and `der`).
-A run inside a `pem` block is reported as `pem` only.
+A run inside a confirmed `pem` block is reported as `pem` only.
 
 Defined cases: null and empty texts have no spans; repeated rows stay repeated
 rows; only the key and text columns are read.
@@ -27,6 +30,7 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,12 +43,14 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # a maximal run, so the least length can stand in the pattern
-KINDS = ("assign", "access", "hex", "jwt", "pem", "der", "ssh")
+KINDS = ("assign", "access", "hex", "jwt", "pem", "der", "pub")
 ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 
 #: base64url of a brace and a quote or white space begins with ey or ew
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])(e[wy][A-Za-z0-9_-]{6,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
-_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,-]*?)-----END \1-----")
+_MARK = re.compile(r"-----(BEGIN|END) ((?:[A-Z0-9]+ )*PRIVATE KEY)-----")
+_BODY = re.compile(r"[A-Za-z0-9+/=\s:,\\-]*")
+_CIPHER = re.compile(r"DEK-Info: *[A-Z0-9-]+,([0-9A-Fa-f]+)")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 _HEX_BLOB = re.compile(r"[0-9A-Fa-f]{48,}")
 _SSH_TYPES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-", b"sk-ssh-", b"sk-ecdsa-")
@@ -103,16 +109,27 @@ def _elements(data: bytes) -> list[tuple[int, bytes]] | None:
     return out
 
 
-def is_der_key(blob: bytes) -> bool:
-    """One SEQUENCE of the stated length whose elements look like a private or public key."""
+def _sequence(blob: bytes) -> list[tuple[int, bytes]]:
+    """The elements of a blob that is one SEQUENCE of the stated length; else none."""
     top = _elements(blob) if blob[:1] == b"\x30" else None
-    if not top or len(top) != 1:
-        return False
-    parts = _elements(top[0][1])
-    if not parts or len(parts) < 2:
+    return (_elements(top[0][1]) or []) if top and len(top) == 1 else []
+
+
+def is_public_key(blob: bytes) -> bool:
+    """Algorithm and bits, or SSH wire form."""
+    parts = _sequence(blob)
+    if [t for t, _ in parts] == [_SEQUENCE, _BITS]:
+        return _is_algorithm(parts[0][1])
+    return is_ssh_key(blob)
+
+
+def is_der_key(blob: bytes) -> bool:
+    """A SEQUENCE whose elements look like a private key."""
+    parts = _sequence(blob)
+    if len(parts) < 2:
         return False
     tags = [t for t, _ in parts]
-    if tags[0] == _SEQUENCE and tags[1] == _BITS:  # public key: algorithm, bits
+    if tags == [_SEQUENCE, _OCTETS]:  # encrypted: algorithm, ciphertext
         return _is_algorithm(parts[0][1])
     if tags[0] != _INTEGER or len(parts[0][1]) != 1:
         return False
@@ -144,9 +161,27 @@ def is_ssh_key(blob: bytes) -> bool:
 
 
 def _is_private_body(body: str) -> bool:
-    lines = [x for x in body.split("\n") if ":" not in x]  # headers of encrypted keys
-    raw = _unbase64("".join("".join(lines).split()))
-    return raw is not None and (raw.startswith(_OPENSSH) or is_der_key(raw))
+    lines = body.replace("\\r", "").replace("\\n", "\n").split("\n")
+    raw = _unbase64("".join("".join(x for x in lines if ":" not in x).split()))  # a colon is in headers only
+    if not raw:
+        return False
+    for start in map(_CIPHER.match, lines):
+        if start:  # ciphertext: whole blocks, whose size is that of the initial vector
+            block = len(start[1]) // 2
+            return block in (8, 16) and len(raw) % block == 0
+    return raw.startswith(_OPENSSH) or is_der_key(raw)
+
+
+def _armours(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of armoured private keys, in order."""
+    header = None
+    for mark in _MARK.finditer(text):
+        if mark[1] == "BEGIN":
+            header = mark
+        elif header is not None and header[2] == mark[2]:
+            if _BODY.fullmatch(text, header.end(), mark.start()) and _is_private_body(text[header.end() : mark.start()]):
+                yield header.start(), mark.end()
+            header = None
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -158,27 +193,27 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return spans + [("hex", *m.span()) for m in HEX.finditer(text)]
 
 
+def _kind_of(blob: bytes | None) -> str | None:
+    if not blob:
+        return None
+    return "der" if is_der_key(blob) else "pub" if is_public_key(blob) else None
+
+
 def structural_spans(text: str) -> list[tuple[str, int, int]]:
-    spans, inside = [], []
-    if "PRIVATE KEY-----" in text:
-        for m in _PEM.finditer(text):
-            if _is_private_body(m[2]):
-                spans.append(("pem", *m.span()))
-                inside.append(m.span())
+    inside = list(_armours(text)) if "PRIVATE KEY-----" in text else []
+    spans, starts = [("pem", *span) for span in inside], [a for a, _ in inside]
     if "." in text:
         spans += [("jwt", *m.span()) for m in _JWT.finditer(text) if is_signed_token(m[1], m[2], m[3])]
     found = set()
     for m in _BASE64.finditer(text):
-        if any(a <= m.start() and m.end() <= b for a, b in inside):
+        at = bisect_right(starts, m.start()) - 1
+        if at >= 0 and m.end() <= inside[at][1]:
             continue
-        raw = _unbase64(m[0])
-        if raw is not None and is_der_key(raw):
-            found.add(("der", *m.span()))
-        elif raw is not None and is_ssh_key(raw):
-            found.add(("ssh", *m.span()))
+        if kind := _kind_of(_unbase64(m[0])):
+            found.add((kind, *m.span()))
     for m in _HEX_BLOB.finditer(text):
-        if len(m[0]) % 2 == 0 and is_der_key(bytes.fromhex(m[0])):
-            found.add(("der", *m.span()))
+        if len(m[0]) % 2 == 0 and (kind := _kind_of(bytes.fromhex(m[0]))):
+            found.add((kind, *m.span()))
     return spans + sorted(found)
 
 

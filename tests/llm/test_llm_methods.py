@@ -3,6 +3,7 @@
 import base64
 import datetime as dt
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -111,14 +112,41 @@ def kinds(text):
 def test_keys_are_confirmed_by_structure():
     ssh = b"".join(len(f).to_bytes(4, "big") + f for f in (b"ssh-rsa", b"\1\0\1", bytes(range(1, 130))))
     assert kinds("key " + base64.b64encode(RSA).decode() + " end") == ["der"]
-    assert kinds(SPKI.hex()) == ["der"] and kinds("x" + base64.b64encode(ssh).decode()[:-4] + " y") == []
-    assert kinds("ssh-rsa " + base64.b64encode(ssh).decode() + " me@host") == ["ssh"]
+    assert kinds(SPKI.hex()) == ["pub"] and kinds("x" + base64.b64encode(ssh).decode()[:-4] + " y") == []
+    assert kinds("ssh-rsa " + base64.b64encode(ssh).decode() + " me@host") == ["pub"]
     assert kinds(base64.b64encode(RSA[:-1]).decode()) == [] and kinds(base64.b64encode(b"plain words " * 9).decode()) == []
     lines = base64.encodebytes(RSA).decode()
     assert kinds(f"a\n-----BEGIN RSA PRIVATE KEY-----\n{lines}-----END RSA PRIVATE KEY-----\n") == ["pem"]
     assert kinds(f"-----BEGIN RSA PRIVATE KEY-----\n{lines[:-20]}-----END RSA PRIVATE KEY-----") == []
 
 
+def armoured(body, name="RSA PRIVATE KEY"):
+    return f"-----BEGIN {name}-----{body}-----END {name}-----"
+
+
+def test_encrypted_keys_and_written_line_ends():
+    lines = base64.encodebytes(RSA).decode()
+    assert kinds('{"key": "' + armoured("\n" + lines).replace("\n", "\\n") + '"}') == ["pem"]
+    legacy = "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC," + "0A" * 16 + "\n\n"
+    whole, short = (base64.encodebytes(bytes(range(n))).decode() for n in (160, 155))
+    assert kinds(armoured(legacy + whole)) == ["pem"] and kinds(armoured(legacy + short)) == []
+    assert kinds(armoured("\n" + whole)) == []  # no headers: must parse
+    sealed = der(0x30, der(0x30, der(6, bytes.fromhex("2a864886f70d01050d"))) + der(4, bytes(range(160))))
+    assert kinds(armoured("\n" + base64.encodebytes(sealed).decode(), "ENCRYPTED PRIVATE KEY")) == ["pem"]
+
+
+def test_open_headers_do_not_hide_a_key_and_cost_linear_time():
+    key = armoured("\n" + base64.encodebytes(RSA).decode())
+    begin, text = "-----BEGIN RSA PRIVATE KEY-----\n", "word " * 9
+    spans = secret_scan.structural_spans(begin + text + key + text + begin)
+    assert spans == [("pem", len(begin + text), len(begin + text + key))]
+    assert kinds("-----BEGIN EC PRIVATE KEY-----\n" + key.split("-----", 2)[2]) == []  # names differ
+    started = time.perf_counter()
+    for unit in (begin, begin + "abcd\n", "-----BEGIN " + "A " * 20, key + "\n"):
+        secret_scan.structural_spans(unit * (1_000_000 // len(unit)))
+    assert time.perf_counter() - started < 5
+
+
 def test_tokens_are_confirmed_by_header():
     head, body = b64url(b'{"alg":"HS256","typ":"JWT"}'), b64url(b'{"sub":"1"}')
     assert secret_scan.structural_spans(f"é {head}.{body}.c2ln x") == [("jwt", 2, 2 + len(f"{head}.{body}.c2ln"))]
