@@ -94,3 +94,33 @@ def test_rows_without_words_or_with_null_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("hash", F.lit("h"))
     kept = near_copies.one_of_each(docs).collect()
     assert sorted((r.doc_id or 0, r.text, r.hash) for r in kept) == [(0, "three", "h"), (1, "one two", "h"), (3, "", "h")]
+
+
+def test_links_of_a_list_cost_few_comparisons(monkeypatch):
+    """Texts in the largest group are not compared any more; the links give the groups of all pairs."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(150)]
+    texts = [[f"x{rng.randrange(999)}" if rng.random() < 0.01 else w for w in base] for _ in range(400)]
+    texts += [[f"y{i}" if j % 12 == 0 else w for j, w in enumerate(base)] for i in range(5)]  # linked to none
+    sets = [near_copies.shingles(near_copies.words_of(" ".join(t))) for t in texts]
+    compared, bincount = [], near_copies.np.bincount
+    monkeypatch.setattr(near_copies.np, "bincount", lambda x, **k: compared.append(k) or bincount(x, **k))
+    links = list(near_copies.spanning_links(sets, [str(i) for i in range(405)], [True] * 405, 0.8))
+    root = list(range(405))
+    for a, b in links:
+        root = [root[a] if r == root[b] else r for r in root]
+    want = heads({i: " ".join(t) for i, t in enumerate(texts)})
+    assert len(set(root)) == len(want) >= 5 and len(links) == 405 - len(want)
+    assert sum("minlength" in k for k in compared) < 60
+
+
+def test_stage_links_by_fingerprints_first(spark):
+    """Close copies are linked by five-word fingerprints within the limit of the method, others are not."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(9999)}" for _ in range(2000)]
+    texts = [base, [*base, "end"], [f"w{rng.randrange(9999)}" for _ in range(2000)]]
+    nodes = spark.createDataFrame(
+        [(str(i), len(s), near_copies.fingerprint(s)) for i, t in enumerate(texts) for s in [near_copies.shingles([w.encode() for w in t])]],
+        "node string, n int, fp long",
+    )
+    assert {tuple(sorted(r)) for r in near_copies._similar_fingerprints(nodes).collect()} == {("0", "1")}
