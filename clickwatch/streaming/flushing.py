@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,6 @@ from clickwatch.sinks.online_store import QUERY_ID
 from clickwatch.streaming.jobs import run
 
 LINES, PROGRESS = "lines", "progress"
-_FLUSH = ("flush", "cause")
 _KEY = (*LAKE_PARTITIONS, "lane")
 _OUTPUT = "y STRING, m STRING, d STRING, h STRING, lane INT, flush BIGINT, cause STRING, value STRING"
 
@@ -42,15 +42,19 @@ class BufferedLines(StatefulProcessor):
         fresh: list[str] = []  # fewer than `rows` between two frames
         for frame in rows:
             fresh += frame["value"].tolist()
-            while waiting + len(fresh) >= self.rows:
-                held = [line for (line,) in self.lines.get()] if waiting else []
-                taken, fresh = fresh[: self.rows - waiting], fresh[self.rows - waiting :]
-                yield self._flushed(key, number, "size", held + taken)
+            if waiting + len(fresh) < self.rows:
+                continue
+            if waiting:
+                fresh = [line for (line,) in self.lines.get()] + fresh
                 self.lines.clear()
-                waiting, number = 0, number + 1
-                if timer:
-                    self.handle.deleteTimer(timer)
-                    timer = 0
+                waiting = 0
+            if timer:
+                self.handle.deleteTimer(timer)
+                timer = 0
+            full = len(fresh) // self.rows
+            leaving, fresh = fresh[: full * self.rows], fresh[full * self.rows :]
+            yield self._flushed(key, np.repeat(np.arange(number, number + full), self.rows), "size", leaving)
+            number += full
         if fresh:
             self.lines.appendList([(line,) for line in fresh])
             waiting += len(fresh)
@@ -66,12 +70,12 @@ class BufferedLines(StatefulProcessor):
         held = [line for (line,) in self.lines.get()]
         self.lines.clear()
         self.progress.update((0, number + 1, 0))
-        yield self._flushed(key, number, "time", held)
+        yield self._flushed(key, np.full(len(held), number), "time", held)
 
     @staticmethod
-    def _flushed(key, number: int, cause: str, lines: list[str]) -> pd.DataFrame:
-        fixed = {**dict(zip(_KEY, key)), "flush": number, "cause": cause}
-        return pd.DataFrame({**{name: [value] * len(lines) for name, value in fixed.items()}, "value": lines})
+    def _flushed(key, numbers: np.ndarray, cause: str, lines: list[str]) -> pd.DataFrame:
+        fixed = {name: [value] * len(lines) for name, value in zip(_KEY, key)}
+        return pd.DataFrame({**fixed, "flush": numbers, "cause": [cause] * len(lines), "value": lines})
 
     def close(self) -> None:
         pass
@@ -96,12 +100,17 @@ def flush_writer(
     wait_seconds: float = C.LAKE_BATCH_SECONDS,
     lanes: int = 1,
 ) -> DataStreamWriter:
-    """One text file per flush, below the query's id and the batch number, so a repeated batch replaces itself."""
+    """One file per flush, below the query's id and the batch number, so a repeated batch replaces itself.
+
+    A line goes with its flush's number. A folder holds the flushes of a buffer by cause: those by size are
+    written in order and cut after `rows` lines, by time there is one a batch.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or "batch"
-        out = batch.write.mode("overwrite").partitionBy(*_KEY, *_FLUSH)
-        out.text(f"{root}/query={query}/batch={batch_id}")
+        ordered = batch.sortWithinPartitions(*_KEY, "cause", "flush")
+        out = ordered.write.mode("overwrite").partitionBy(*_KEY, "cause").option("maxRecordsPerFile", rows)
+        out.json(f"{root}/query={query}/batch={batch_id}")
 
     return flushed_lines(lines, rows, wait_seconds, lanes).writeStream.outputMode("append").foreachBatch(write)
 
@@ -124,4 +133,4 @@ def run_once(spark: SparkSession, writer: DataStreamWriter, checkpoint: str) ->
 def read_flushes(spark: SparkSession, root: str) -> DataFrame:
     """Lines with the flush they came with: query, batch, path columns, lane, flush, cause, value."""
     schema = f"value STRING, query STRING, batch BIGINT, {_OUTPUT.removesuffix(', value STRING')}"
-    return spark.read.schema(schema).text(root)
+    return spark.read.schema(schema).json(root)

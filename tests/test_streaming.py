@@ -265,3 +265,25 @@ def test_lines_are_flushed_by_size_and_by_time(spark, tmp_path):
     files, waiting = run("2024-01-01 11:00:01", "2024-01-01 11:00:02", "2024-01-01 11:00:03")
     lines = sorted(v for k, values in files.items() for v in values if k[0] == "11")
     assert files["11", 0, "size"] and lines == [f"2024-01-01 11:00:0{i}" for i in range(4)] and waiting == {"10": 0, "11": 0}
+
+
+def test_a_flush_is_a_file_and_not_a_folder(spark, tmp_path):
+    """A backlog of many flushes: a file of so many lines each, a folder for all of a buffer."""
+    import glob
+    import os
+
+    from clickwatch.sinks.files import lake_rows
+    from clickwatch.streaming import flushing
+
+    topic, root = str(tmp_path / "topic"), str(tmp_path / "lake")
+    lines = [(f"2024-01-01 1{i % 2}:{i // 60:02d}:{i % 60:02d}",) for i in range(2000)]
+    spark.createDataFrame(lines, "value STRING").write.text(topic)
+    stream = lake_rows(file_stream(spark, topic).withColumn("timestamp", F.col("value").cast("timestamp")))
+    flushing.run_once(spark, flushing.flush_writer(stream, root, rows=10, wait_seconds=60), str(tmp_path / "checkpoint"))
+    files = glob.glob(f"{root}/**/*.json", recursive=True)
+    assert len(files) == 200 and len({os.path.dirname(f) for f in files}) == 2
+    found = flushing.read_flushes(spark, root).withColumn("file", F.input_file_name())
+    assert sorted(r.value for r in found.collect()) == sorted(v for v, in lines)
+    per = found.groupBy("file", "h", "flush", "cause").count().collect()
+    assert len(per) == 200 and {(r["count"], r.cause) for r in per} == {(10, "size")}
+    assert {(r.h, r.flush) for r in per} == {(h, n) for h in ("10", "11") for n in range(100)}
