@@ -58,7 +58,7 @@ from clickwatch.session import new_path, stage
 #: characters that are composed as they stand and whose class and lower case (one character) every library agrees on
 _KNOWN = re.compile("[\x20-\x7eÀ-ÖØ-öø-įı-ɏ]*")
 #: words remembered by a worker (twice that at most, of so many bytes each), and words whose ids are looked up together
-_REMEMBERED, _LONGEST, _GROUP_WORDS = 120_000, 64, 100_000
+_REMEMBERED, _LONGEST, _GROUP_WORDS = 240_000, 64, 200_000
 _ROWS = 256  # documents taken out of a batch at once
 _MAGIC, _HEADER = b"MPHI", "<4sIQ"  # magic, displacements, keys
 _SLOT = np.dtype([("fingerprint", "<u4"), ("rows", "<u4"), ("first", "<u8")])
@@ -133,26 +133,37 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Memo:
-    """Ids of words met lately: what is met again moves to the young half, the old half goes when that is full."""
+    """Ids of words met lately: what is met again moves to the young half, the old half goes when that is full.
+
+    The young half holds all words of the group at hand, so it is the table by which that is put together.
+    """
 
     def __init__(self) -> None:
         self.young: dict = {}
         self.old: dict = {}
+        self.long: list = []
 
-    def take(self, words: set) -> tuple[dict, set]:
-        young, old = self.young, self.old
-        found = {w: young[w] for w in words & young.keys()}
-        words = words - found.keys()
-        for w in words & old.keys():
-            found[w] = young[w] = old[w]
-        return found, words - found.keys()
-
-    def put(self, fresh: dict) -> None:
-        if max(map(len, fresh), default=0) > _LONGEST:
-            fresh = {w: ids for w, ids in fresh.items() if len(w) <= _LONGEST}
-        self.young.update(fresh)
+    def unknown(self, words: set) -> list:
+        """The words of the next group that have no ids yet; `put` has to follow."""
+        for w in self.long:
+            del self.young[w]
+        self.long = []
         if len(self.young) > _REMEMBERED:
             self.young, self.old = {}, self.young
+        young, old, left = self.young, self.old.get, []
+        for w in words.difference(young):
+            if (ids := old(w)) is None:
+                left.append(w)
+            else:
+                young[w] = ids
+        return left
+
+    def put(self, fresh: dict) -> dict:
+        """Ids of all words of the group, and of others."""
+        if fresh and max(map(len, fresh)) > _LONGEST:
+            self.long = [w for w in fresh if len(w) > _LONGEST]
+        self.young.update(fresh)
+        return self.young
 
 
 class _Encoder:
@@ -185,11 +196,8 @@ class _Encoder:
         yield from self._joined(group)
 
     def _joined(self, group: list[list[bytes]]) -> list[bytes]:
-        table, unknown = self.pieces.take(set().union(*group))
-        if unknown:
-            fresh = self._encoded_pieces(list(unknown))
-            self.pieces.put(fresh)
-            table.update(fresh)
+        unknown = self.pieces.unknown(set().union(*group))
+        table = self.pieces.put(self._encoded_pieces(unknown) if unknown else {})
         return [b"".join(map(table.__getitem__, pieces)) for pieces in group]
 
     def _encoded_pieces(self, pieces: list[bytes]) -> dict[bytes, bytes]:
@@ -207,17 +215,15 @@ class _Encoder:
             text = b" ".join(pieces).decode("utf-8", "replace")
         # the pattern takes every character but white space, so the parts of a piece are found by their lengths
         parts = self.pattern.findall(text.lower())
-        table, unknown = self.words.take(set(parts))
         found = {}
-        for word in unknown:
+        for word in self.words.unknown(set(parts)):
             letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
             found[word] = array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
-        self.words.put(found)
-        table.update(found)
-        ids = list(map(table.__getitem__, parts))
+        ids = list(map(self.words.put(found).__getitem__, parts))
         lengths = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
         ends = np.searchsorted(lengths, np.cumsum(list(map(len, text.split(" ")))), "right").tolist()
-        fresh.update((p, b"".join(ids[i:j])) for p, i, j in zip(pieces, [0, *ends], ends))
+        # most pieces have one part
+        fresh.update((p, ids[i] if j == i + 1 else b"".join(ids[i:j])) for p, i, j in zip(pieces, [0, *ends], ends))
         return fresh
 
 

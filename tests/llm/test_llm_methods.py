@@ -333,3 +333,26 @@ def test_hot_vector_and_ties(spark):
         scores = np.einsum("nd,d->n", x, x[q])
         order = [i for i in sorted(range(400), key=lambda i: (-round(scores[i], 9), i)) if i != q][:10]
         assert [r.vec_id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q] == order
+
+
+def test_token_memo_is_the_table_of_its_group(monkeypatch):
+    """Words are looked up once a group, what is met again stays, long words go with their group; ids are those of whole texts."""
+    import public_tokenizers
+
+    from clickwatch.llm import token_store
+
+    monkeypatch.setattr(token_store, "_REMEMBERED", 3)
+    monkeypatch.setattr(token_store, "_GROUP_WORDS", 4)
+    memo = token_store._Memo()
+    assert sorted(memo.unknown({"a", "b", "x" * 99})) == ["a", "b", "x" * 99]
+    table = memo.put({"a": b"1", "b": b"2", "x" * 99: b"3"})
+    assert table is memo.young and table["x" * 99] == b"3"
+    assert sorted(memo.unknown({"b", "c", "d"})) == ["c", "d"]
+    memo.put({"c": b"4", "d": b"5"})
+    assert sorted(memo.unknown({"a", "x" * 99})) == ["x" * 99] and memo.young == {"a": b"1"}
+    layout = token_store.Layout(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["One two, three four's five!", "y" * 200 + " two two", "", "Ünder two's 12,3 " * 9, "y" * 200]
+    token_store._encoder.cache_clear()
+    cut = list(token_store.encoded(texts, layout))
+    token_store._encoder.cache_clear()
+    assert cut == list(token_store.encoded(texts, token_store.Layout(layout.tokenizer, cut=False)))
